@@ -1,8 +1,10 @@
 """Registered queries of the training-data operators, and the SQL of those that SQL can express."""
 
-from cairnspark.llm import line_dedup, mixing
+from cairnspark.llm import langid, line_dedup, minhash, mixing
 
 QUERIES = {
+    "op4_language_id": langid.op4,
+    "op6_minhash": minhash.op6,
     "op9_line_dedup": line_dedup.op9,
     "op10_mix_sources": mixing.op10,
 }

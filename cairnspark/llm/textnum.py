@@ -70,16 +70,16 @@ def blocks(offs: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
 
 
 class Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a block of documents.
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a block of documents, or runs of the bytes that ``word`` marks.
 
     ``start``/``end`` are byte positions in ``data``, ``doc`` the row of each
     word, ``first`` the index of each row's first word (length rows + 1).
     """
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray):
+    def __init__(self, data: np.ndarray, offs: np.ndarray, word: np.ndarray | None = None):
         self.data, self.offs = data, offs
         n = len(data)
-        word = ~_SEP[data]
+        word = ~_SEP[data] if word is None else word
         edge = np.zeros(n + 1, dtype=bool)
         edge[offs[:-1]] = True
         edge[n] = True
