@@ -1,14 +1,18 @@
 """Registered queries of the training-data operators, and the SQL of those that SQL can express."""
 
-from cairnspark.llm import langid, line_dedup, minhash, mixing
+from cairnspark.llm import decontam, langid, licenses, line_dedup, minhash, mixing, toxicity
 
 QUERIES = {
+    "op1_decontaminate": decontam.op1,
+    "op3_license_scan": licenses.op3,
     "op4_language_id": langid.op4,
+    "op5_toxicity": toxicity.op5,
     "op6_minhash": minhash.op6,
     "op9_line_dedup": line_dedup.op9,
     "op10_mix_sources": mixing.op10,
 }
 
 ORACLES = {
+    "op3_license_scan": licenses.OP3_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
 }
