@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators, and the SQL of those that SQL can express."""
 
-from cairnspark.llm import decontam, langid, licenses, line_dedup, minhash, mixing, toxicity
+from cairnspark.llm import decontam, langid, licenses, line_dedup, minhash, mixing, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1,
@@ -8,11 +8,13 @@ QUERIES = {
     "op4_language_id": langid.op4,
     "op5_toxicity": toxicity.op5,
     "op6_minhash": minhash.op6,
+    "op7_warc": warc.op7,
     "op9_line_dedup": line_dedup.op9,
     "op10_mix_sources": mixing.op10,
 }
 
 ORACLES = {
     "op3_license_scan": licenses.OP3_SQL,
+    "op7_warc": warc.OP7_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
 }
