@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators, and the SQL of those that SQL can express."""
 
-from cairnspark.llm import decontam, langid, licenses, line_dedup, minhash, mixing, toxicity, warc
+from cairnspark.llm import decontam, langid, licenses, line_dedup, minhash, mixing, toxicity, vectors, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1,
@@ -9,6 +9,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5,
     "op6_minhash": minhash.op6,
     "op7_warc": warc.op7,
+    "op8_embedding_dedup": vectors.op8,
     "op9_line_dedup": line_dedup.op9,
     "op10_mix_sources": mixing.op10,
 }
