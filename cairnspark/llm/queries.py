@@ -1,9 +1,10 @@
 """Registered queries of the training-data operators, and the SQL of those that SQL can express."""
 
-from cairnspark.llm import decontam, langid, licenses, line_dedup, minhash, mixing, toxicity, vectors, warc
+from cairnspark.llm import decontam, langid, licenses, line_dedup, minhash, mixing, suffixes, toxicity, vectors, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1,
+    "op2_suffix_dedup": suffixes.op2,
     "op3_license_scan": licenses.op3,
     "op4_language_id": langid.op4,
     "op5_toxicity": toxicity.op5,
