@@ -32,6 +32,7 @@ TRAIN_DOCS = 2000
 SWITCH = 12.0
 MAX_CANDIDATES = 8
 PIECE = 32
+MIN_SCORE = 0.3
 
 # First and last code points of scripts (Unicode blocks), in order.
 SCRIPTS = [
@@ -297,6 +298,24 @@ def identify(docs: DataFrame, model: SimpleNamespace, penalty: float = SWITCH) -
     )
 
 
+def _keep(model, penalty: float, min_score: float):
+    predict = _predict(model, penalty)
+
+    def run(batches):
+        for batch in batches:
+            slim = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(batch), np.int64)), batch.column(batch.schema.names.index("text"))], names=["doc_id", "text"])
+            got = pa.Table.from_batches(list(predict([slim])))
+            ok = (got["lang_pred"].to_numpy() != "und") & (got["score"].to_numpy() >= min_score)
+            yield batch.filter(pa.array(ok))
+
+    return run
+
+
+def keep_identified(docs: DataFrame, model: SimpleNamespace, penalty: float = SWITCH, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` with a language that has at least ``min_score`` of the words; all columns stay, no row moves."""
+    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model), penalty, min_score), docs.schema)
+
+
 def fold_of(doc_id: str, mod: int):
     return F.crc32(F.col(doc_id).cast("string")) % mod
 

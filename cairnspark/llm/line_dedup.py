@@ -103,16 +103,16 @@ def recurring_lines(
 
 def drop_lines(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """``docs`` without those lines; adds n_lines, n_lines_kept and the kept text as ``kept``."""
-    gone = hits.groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("pos").alias("gone"))
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    out = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left").withColumn("lines_", lines)
-    keep = F.when(F.col("gone").isNull(), F.col("lines_")).otherwise(F.filter("lines_", lambda x, i: ~F.array_contains("gone", i)))
-    out = out.withColumn("keep_", keep)
+    gone = hits.groupBy(F.col("doc_id").alias("_cairn_id")).agg(F.collect_set("pos").alias("_cairn_gone"))
+    lines = F.split(F.coalesce(docs["text"], F.lit("")), "\n")
+    out = docs.withColumn("_cairn_lines", lines).join(gone, docs["doc_id"] == F.col("_cairn_id"), "left")
+    keep = F.when(F.col("_cairn_gone").isNull(), F.col("_cairn_lines")).otherwise(F.filter("_cairn_lines", lambda x, i: ~F.array_contains("_cairn_gone", i)))
+    out = out.withColumn("_cairn_keep", keep)
     return out.select(
         *[docs[c] for c in docs.columns],
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("keep_", "\n")).alias("kept"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("lines_")).cast("long").alias("n_lines"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("keep_")).cast("long").alias("n_lines_kept"),
+        F.when(F.col("_cairn_gone").isNull(), docs["text"]).otherwise(F.array_join("_cairn_keep", "\n")).alias("kept"),
+        F.when(docs["text"].isNull(), 0).otherwise(F.size("_cairn_lines")).cast("long").alias("n_lines"),
+        F.when(docs["text"].isNull(), 0).otherwise(F.size("_cairn_keep")).cast("long").alias("n_lines_kept"),
     )
 
 

@@ -43,6 +43,15 @@ def drop(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``ids``; those are broadcast while they are few, else joined by a shuffle."""
+    gone = cut(ids.select(F.col("doc_id").alias("_cairn_id")), "gone")
+    return docs.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone, docs["doc_id"] == F.col("_cairn_id"), "left_anti")
+
+
 def _union_find(batches):
     """Contract the edges of one partition to a forest: (node, smallest node reachable here)."""
     parent: dict[int, int] = {}
