@@ -7,10 +7,12 @@ need one or two rounds.  Documents whose bands agree are candidates; links
 are confirmed on full shingle sets and grouped.
 
 Equal sets are one class from the start (grouped by a 128-bit fingerprint),
-so copies are never paired.  In a band bucket each class is first compared
-with the bucket's smallest id; only classes that are still in different
-groups afterwards are compared further, until no untested pair of a bucket is
-left between groups.  No cap on buckets or partners.
+so copies are never paired.  Each class is first compared with the smallest
+ids of its band buckets.  Classes at least half similar to those form
+clusters; where links have not joined a whole cluster, all its pairs are
+compared inside tasks, in blocks, which emit spanning edges and no pairs.
+Pairs of a bucket across clusters are compared unless the triangle inequality
+rules them out.  No cap on buckets or partners.
 
 Edge cases: a null or empty text, or one without words, has no shingles and
 links with nothing; fewer words than a shingle count as one whole sequence;
@@ -22,8 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairnspark.llm.shared import components, cut, drop
@@ -32,6 +33,7 @@ from cairnspark.llm.textnum import GOLDEN, as_bytes, blocks, mix, rows, shingle_
 SLOTS, BANDS = 160, 32
 SHINGLE, SIMILAR = 5, 80
 GROUP = 1 << 17
+BLOCK = 1500
 _U = np.uint64
 
 
@@ -118,33 +120,102 @@ def _sign(k: int, slots: int, bands: int, seed: int):
     return run
 
 
-def _verify(k: int, similar: int):
+def _similarity(k: int):
+    """(a, b, both, either): sizes of intersection and union of the full shingle sets of each pair."""
+
     def run(batches):
         for batch in batches:
             a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-            ids = np.concatenate([a, b])
-            distinct, at = np.unique(ids, return_index=True)
-            texts = pa.concat_arrays([batch.column("ta"), batch.column("tb")]) if isinstance(batch, pa.RecordBatch) else None
-            data, offs = as_bytes(texts.take(pa.array(at)))
+            distinct, at = np.unique(np.concatenate([a, b]), return_index=True)
+            data, offs = as_bytes(pa.concat_arrays([batch.column("ta"), batch.column("tb")]).take(pa.array(at)))
             sets: list[np.ndarray] = []
             for lo, hi in blocks(offs):
                 sets += shingle_sets(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], k)
-            ia, ib = np.searchsorted(distinct, a), np.searchsorted(distinct, b)
-            ok = np.zeros(len(a), bool)
-            for i, (x, y) in enumerate(zip(ia, ib, strict=True)):
-                s, t = sets[x], sets[y]
-                small, large = min(len(s), len(t)), max(len(s), len(t))
-                if 100 * small < similar * large or not small:
-                    continue
-                both = small + large - len(np.union1d(s, t))
-                ok[i] = 100 * both >= similar * (small + large - both)
-            if ok.any():
-                yield pa.RecordBatch.from_arrays([pc.filter(batch.column("a"), pa.array(ok)), pc.filter(batch.column("b"), pa.array(ok))], names=["a", "b"])
+            both, either = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+            for i, (x, y) in enumerate(zip(np.searchsorted(distinct, a), np.searchsorted(distinct, b), strict=True)):
+                merged = np.concatenate([sets[x], sets[y]])
+                merged.sort()
+                both[i] = np.count_nonzero(merged[1:] == merged[:-1])
+                either[i] = len(merged) - both[i]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both), pa.array(either)], names=["a", "b", "both", "either"])
+
+    return run
+
+
+def linked_within(sets: list[np.ndarray], similar: int) -> np.ndarray:
+    """For each set, the smallest index reachable by links among ``sets``; all pairs are compared.
+
+    With p the elements of most sets, the intersection of x and y is
+    |p| - |p - x| - |p - y| + |(x ^ p) & (y ^ p)|, and the symmetric differences
+    are short for copies of one text, so only they are counted pairwise.
+    """
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    values, at = np.unique(flat, return_inverse=True)
+    owner = np.repeat(np.arange(n), sizes)
+    center = np.bincount(at, minlength=len(values)) * 2 > n
+    lost = int(center.sum()) - np.bincount(owner[center[at]], minlength=n)
+    # symmetric differences: elements outside the center, and center elements that a set lacks
+    has = np.zeros((n, int(center.sum())), bool)
+    rank = np.cumsum(center) - 1
+    inside = center[at]
+    has[owner[inside], rank[at[inside]]] = True
+    row, col = np.nonzero(~has)
+    who = np.concatenate([owner[~inside], row])
+    what = np.concatenate([at[~inside], col + len(values)])
+    order = np.argsort(what, kind="stable")
+    who, what = who[order], what[order]
+    cut_ = np.flatnonzero(np.concatenate([[True], what[1:] != what[:-1], [True]]))
+    shared = np.zeros((n, n), np.int32)
+    for lo, hi in zip(cut_[:-1][np.diff(cut_) > 1], cut_[1:][np.diff(cut_) > 1], strict=True):
+        rows_ = who[lo:hi]
+        shared[rows_[:, None], rows_] += 1
+    both = shared
+    both += np.int32(center.sum())
+    both -= lost[:, None].astype(np.int32)
+    both -= lost[None, :].astype(np.int32)
+    link = (100 + similar) * both >= similar * (sizes[:, None] + sizes[None, :]).astype(np.int32)
+    link &= (sizes > 0)[:, None] & (sizes > 0)[None, :]
+    label = np.arange(n)
+    while True:
+        low = np.where(link, label[None, :], n).min(axis=1)
+        nxt = np.minimum(label, low)
+        nxt = nxt[nxt]
+        if (nxt == label).all():
+            return label
+        label = nxt
+
+
+def _link_groups(k: int, similar: int):
+    def solve(ids, texts):
+        data, offs = as_bytes(texts)
+        sets: list[np.ndarray] = []
+        for lo, hi in blocks(offs):
+            sets += shingle_sets(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], k)
+        label = linked_within(sets, similar)
+        far = np.flatnonzero(label != np.arange(len(label)))
+        return pa.RecordBatch.from_arrays([pa.array(ids[far]), pa.array(ids[label[far]])], names=["a", "b"])
+
+    def run(batches):
+        held: list = []
+        last = None
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if held and key[lo] != last:
+                    yield solve(np.concatenate([h[0] for h in held]), pa.concat_arrays([h[1] for h in held]))
+                    held = []
+                last = key[lo]
+                held.append((batch.column("rep").to_numpy()[lo:hi], batch.column("text").slice(lo, hi - lo)))
+        if held:
+            yield solve(np.concatenate([h[0] for h in held]), pa.concat_arrays([h[1] for h in held]))
 
     return run
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR, slots: int = SLOTS, bands: int = BANDS, seed: int = 1) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR, slots: int = SLOTS, bands: int = BANDS, seed: int = 1, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of ``docs(doc_id, text)``.
 
     Links are pairs with 100 * intersection >= ``similar`` * union of their
@@ -157,44 +228,45 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR, s
     reps = sig.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     shared = reps.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("top")).where("lead < top").select("key", "lead")
     buckets = cut(reps.join(shared, "key").distinct(), "buckets")
-    pairs = cut(buckets.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    ids = buckets.select(F.col("rep").alias("id")).distinct()
-    cand = cut(texts.join(ids, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]), "cand")
-
-    def linked(p: DataFrame) -> DataFrame:
-        both = p.join(cand.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(cand.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-        return both.select("a", "b", "ta", "tb").mapInArrow(_verify(k, similar), "a long, b long")
-
-    links = cut(linked(pairs), "links")
-    n_reps = None
-    for turn in range(8):
-        comp = cut(components(links), "comp")
-        rows_ = buckets.join(comp, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("comp"))
-        sizes = rows_.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count("*").alias("g"))
-        mixed = cut(sizes.where("g > 1"), "mixed")
-        todo = mixed.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("p")).first().p or 0
-        if not todo:
-            break
-        open_ = cut(rows_.join(mixed.select("key"), "key", "left_semi"), "open")
-        n_reps = n_reps or classes.count()
-        whole = todo <= 20 * n_reps + 100_000 or turn == 7
-        x, y = open_.toDF("key", "rep", "n", "comp"), open_.toDF("key", "rep2", "n2", "comp2")
-        if not whole:  # one more pivot in each bucket, by a hash that changes with the turn
-            pivot = open_.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.col("rep"), F.lit(turn)).alias("h"), "rep")).alias("m")).select("key", F.col("m.rep").alias("rep"))
-            x = x.join(pivot, ["key", "rep"], "left_semi")
-        apart = x.join(y, "key").where((F.col("comp") != F.col("comp2")) & (F.col("rep") != F.col("rep2") if not whole else F.col("rep") < F.col("rep2")))
-        apart = apart.where(100 * F.least("n", "n2") >= similar * F.greatest("n", "n2"))
-        fresh = apart.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        fresh = cut(fresh, "fresh")
-        more = cut(linked(fresh), "links")
-        links = cut(links.union(more), "links")
-        pairs = cut(pairs.union(fresh), "pairs")
-        drop(open_)
-        if whole:
-            comp = cut(components(links), "comp")
-            break
-    drop(buckets)
-    drop(cand)
+    cand = cut(texts.join(buckets.select(F.col("rep").alias("id")).distinct(), F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]), "cand")
+
+    def measured(p: DataFrame) -> DataFrame:
+        with_a = p.join(cand.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
+        both = with_a.join(cand.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+        return both.select("a", "b", "ta", "tb").mapInArrow(_similarity(k), "a long, b long, both long, either long")
+
+    link = (F.col("either") > 0) & (100 * F.col("both") >= similar * F.col("either"))
+    # 1. each class against the smallest ids of its buckets: the one it meets most often, and all it meets twice
+    met = buckets.where("rep <> lead").groupBy(F.col("lead").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("c"))
+    best = Window.partitionBy("b").orderBy(F.col("c").desc(), "a")
+    pairs = cut(met.withColumn("k", F.row_number().over(best)).where("k = 1 or c > 1").select("a", "b"), "pairs")
+    sim = cut(measured(pairs), "sim")
+    # 2. half-similar classes form clusters; in those that links have not joined, all pairs are compared, in blocks
+    comp = cut(components(sim.where(link).select("a", "b")), "comp")
+    cluster = cut(components(sim.where("either > 0 and 2 * both >= either").select("a", "b")).toDF("node", "cluster"), "cluster")
+    at = cluster.join(comp, "node", "left").select("node", "cluster", F.coalesce("root", "node").alias("comp"))
+    at = at.union(cluster.select(F.col("cluster").alias("node"), "cluster").distinct().join(comp, "node", "left").select("node", "cluster", F.coalesce("root", "node")))
+    at = cut(at, "members")
+    torn = at.groupBy("cluster").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("cluster", F.ceil(F.col("size") / block).alias("blocks"))
+    dealt = at.join(torn, "cluster").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select(F.col("node").alias("rep"), F.xxhash64("cluster", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
+    groups = dealt.join(cand, F.col("doc_id") == F.col("rep")).select("key", "rep", "text").repartition("key").sortWithinPartitions("key")
+    inner = cut(groups.mapInArrow(_link_groups(k, similar), "a long, b long"), "inner")
+    # 3. pairs of a bucket across clusters; Jaccard distance is a metric, so the distances to the bucket's lead rule most out
+    of = at.select(F.col("node").alias("rep"), "cluster")
+    known = sim.select(F.col("a").alias("lead"), F.col("b").alias("rep"), (1 - F.col("both") / F.col("either")).alias("far"))
+    spread = buckets.join(of, "rep", "left").withColumn("cluster", F.coalesce("cluster", "rep"))
+    mixed = spread.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo <> hi").select("key")
+    rest = spread.join(mixed, "key", "left_semi").join(known, ["lead", "rep"], "left").select("key", "rep", "n", "cluster", F.when(F.col("rep") == F.col("lead"), 0.0).otherwise(F.col("far")).alias("far"))
+    rest = cut(rest, "rest")
+    x, y = rest, rest.toDF("key", "rep2", "n2", "cluster2", "far2")
+    apart = x.join(y, "key").where("rep < rep2 and cluster <> cluster2").where(100 * F.least("n", "n2") >= similar * F.greatest("n", "n2"))
+    apart = apart.where(F.coalesce(F.abs(F.col("far") - F.col("far2")) <= F.lit((100 - similar) / 100 + 1e-9), F.lit(True)))
+    fresh = cut(apart.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "fresh")
+    outer = measured(fresh).where(link).select("a", "b")
+    comp = cut(components(sim.where(link).select("a", "b").union(inner).union(outer)), "comp")
+    for used in (buckets, cand, pairs, sim, rest):
+        drop(used)
     named = classes.join(comp, F.col("rep") == F.col("node"), "left").select("f1", "f2", F.coalesce("root", "rep").alias("component"))
     out = sig.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
