@@ -6,7 +6,7 @@ its fraction rounded by the cube method: a flight through the null space of
 the balancing constraints (words and documents of the source) fixes one unit
 at a time while both totals hold, block by block, then over what the blocks
 left, until a landing problem of at most 14 units per source remains (two that
-the flight leaves and twelve of spread sizes, held back so that rounding them
+the flight leaves and twelve of halving sizes, held back so that rounding them
 together comes near the source's words).
 
 Edge cases: a null or empty text has size 0 and is never sampled by words
@@ -127,8 +127,11 @@ def _fly(last: bool):
         x, pi = pdf["size"].to_numpy(dtype=float), pdf["pi"].to_numpy(dtype=float)
         units = np.flatnonzero((pi > 0) & (pi < 1))
         held = np.zeros(len(pi), dtype=bool)
-        if len(units):
-            held[units[np.unique(np.linspace(0, len(units) - 1, min(LANDING_UNITS, len(units))).astype(int))]] = True
+        free = units
+        for j in range(min(LANDING_UNITS, len(units))):  # sizes halve from the largest on, so that sums of some of them come near any gap
+            pick = free[np.argmin(np.abs(x[free] - x[units[0]] / 2**j))]
+            held[pick] = True
+            free = free[free != pick]
         out = pi.copy()
         out[~held] = flight(pi[~held], x[~held], rng)
         if last:
