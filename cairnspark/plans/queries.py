@@ -517,3 +517,81 @@ def tree_walk(spark, sf_dir):
         more = F.col("steps") < F.col("level")
         up = up.select("level", "tx", "tz", *[F.when(more, F.shiftright(c, 1)).otherwise(F.col(c)).alias(c) for c in ("root_x", "root_z")], F.when(more, F.col("steps") + 1).otherwise(F.col("steps")).alias("steps"))
     return up
+
+
+def _encoded(spark, sf_dir, mode):
+    from cairnspark.plans.build import encode_tiles
+    from cairnspark.schema import BuildConfig
+
+    faces, grid = _pyramid(spark, sf_dir)
+    tiles = encode_tiles(T.feature_ids(faces), grid, DEPTH, BuildConfig(C.VOXEL, C.BRICK, mode=mode))
+    return tiles.select("level", "tx", "tz", "cubes", "triangles", "bytes", F.sha2("content", 256).alias("sha256"))
+
+
+@query()
+def glb_tiles(spark, sf_dir):
+    """Baked tiles and their hashes."""
+    return _encoded(spark, sf_dir, "baked")
+
+
+@query()
+def glb_instanced(spark, sf_dir):
+    """K3: instanced tiles and their hashes."""
+    return _encoded(spark, sf_dir, "instanced")
+
+
+@query()
+def utm_to_ecef(spark, sf_dir):
+    """Projected coordinates to earth-centred metres and back."""
+    import numpy as np
+    import pandas as pd
+
+    from cairnspark.functions import crs
+
+    def convert(batches):
+        for b in batches:
+            e, n = 500000.0 + b["x"].to_numpy(), 7500000.0 + b["y"].to_numpy()
+            ex, ey, ez = crs.transform(31983, 4978, e, n, b["z"].to_numpy())
+            be, bn, bh = crs.transform(4978, 31983, ex, ey, ez)
+            yield pd.DataFrame({"ex": ex.round(6), "ey": ey.round(6), "ez": ez.round(6), "off_m": np.hypot(be - e, bn - n).round(6), "off_h": np.abs(bh - b["z"].to_numpy()).round(6)})
+
+    return C.points(spark, sf_dir).select("x", "y", "z").mapInPandas(convert, "ex double, ey double, ez double, off_m double, off_h double")
+
+
+@query()
+def affine_fit(spark, sf_dir):
+    """Placement matrix of the cloud's grid, with its worst errors."""
+    from cairnspark.functions import crs
+
+    _, g = _base(spark, sf_dir)
+    nx, ny, nz = (float(n) for n in g.dims)
+    m, worst = crs.placement(31983, (500000.0 + g.origin[0], 7500000.0 + g.origin[1], g.origin[2]), (nx, ny, nz))
+    rows = [(i // 4, i % 4, round(v, 6)) for i, v in enumerate(m)] + [(4, 0, round(worst["max_horizontal_m"], 6)), (4, 1, round(worst["max_vertical_m"], 6))]
+    return spark.createDataFrame(rows, "col int, row int, value double")
+
+
+@query()
+def utm_zones(spark, sf_dir):
+    """Zones whose reading of a coordinate lies near a hint."""
+    from cairnspark.functions import crs
+
+    found = crs.zones_near(500150.0, 7500140.0, -45.0, -22.6, 700.0)
+    return spark.createDataFrame([(r["epsg"], round(r["lon"], 6), round(r["lat"], 6), round(r["km"], 3)) for r in found], "epsg int, lon double, lat double, km double")
+
+
+@query()
+def las_round_trip(spark, sf_dir):
+    """The cloud written as a LAS file in the shared folder and read by record ranges."""
+    import tempfile
+
+    import numpy as np
+
+    from cairnspark.sources.las import describe, register, write_las
+
+    p = C.points(spark, sf_dir).selectExpr("cast(round(x * 1000) as int) x", "cast(round(y * 1000) as int) y", "cast(round(z * 1000) as int) z", "red", "green", "blue").limit(100_000).toPandas()
+    path = f"{tempfile.mkdtemp(prefix='cairnspark-')}/cloud.las"
+    write_las(path, p[["x", "y", "z"]].to_numpy(), p[["red", "green", "blue"]].to_numpy(), (0.001,) * 3, (0.0,) * 3, 31983)
+    register(spark)
+    n = describe(path)["count"]
+    back = spark.read.format("las").option("records", 20_000).load(path)
+    return back.groupBy((F.floor("x") % 10).alias("strip")).agg(F.count("*").alias("n"), F.round(F.sum("z"), 3).alias("z"), F.sum("red").alias("red")).withColumn("declared", F.lit(n))
