@@ -581,17 +581,12 @@ def utm_zones(spark, sf_dir):
 
 @query()
 def las_round_trip(spark, sf_dir):
-    """The cloud written as a LAS file in the shared folder and read by record ranges."""
-    import tempfile
+    """The whole cloud written as LAS files by tasks, and read by record ranges."""
+    from cairnspark.sources.las import register, write_parts
+    from cairnspark.sources.outdir import work_folder
 
-    import numpy as np
-
-    from cairnspark.sources.las import describe, register, write_las
-
-    p = C.points(spark, sf_dir).selectExpr("cast(round(x * 1000) as int) x", "cast(round(y * 1000) as int) y", "cast(round(z * 1000) as int) z", "red", "green", "blue").limit(100_000).toPandas()
-    path = f"{tempfile.mkdtemp(prefix='cairnspark-')}/cloud.las"
-    write_las(path, p[["x", "y", "z"]].to_numpy(), p[["red", "green", "blue"]].to_numpy(), (0.001,) * 3, (0.0,) * 3, 31983)
+    folder = work_folder(spark, "las")
+    declared = write_parts(C.points(spark, sf_dir), folder, epsg=31983).agg(F.sum("n")).first()[0]
     register(spark)
-    n = describe(path)["count"]
-    back = spark.read.format("las").option("records", 20_000).load(path)
-    return back.groupBy((F.floor("x") % 10).alias("strip")).agg(F.count("*").alias("n"), F.round(F.sum("z"), 3).alias("z"), F.sum("red").alias("red")).withColumn("declared", F.lit(n))
+    back = spark.read.format("las").option("records", 20_000).load(folder)
+    return back.groupBy((F.floor("x") % 10).alias("strip")).agg(F.count("*").alias("n"), F.round(F.sum("z"), 3).alias("z"), F.sum("red").alias("red")).withColumn("declared", F.lit(declared))

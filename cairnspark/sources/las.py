@@ -143,13 +143,39 @@ def write_las(path: str, ints: np.ndarray, rgb: np.ndarray, scales, offsets, eps
     struct.pack_into("<6d", head, 179, *[v for pair in zip(hi, lo, strict=True) for v in pair])
     struct.pack_into("<Q", head, 247, n)
     raw = np.zeros((n, RECORD[fmt]), np.uint8)
-    raw[:, :12] = ints.astype("<i4").view(np.uint8).reshape(n, 12)
+    raw[:, :12] = np.ascontiguousarray(ints, dtype="<i4").view(np.uint8).reshape(n, 12)
     if fmt in RGB_AT:
-        raw[:, RGB_AT[fmt] : RGB_AT[fmt] + 6] = rgb.astype("<u2").view(np.uint8).reshape(n, 6)
+        raw[:, RGB_AT[fmt] : RGB_AT[fmt] + 6] = np.ascontiguousarray(rgb, dtype="<u2").view(np.uint8).reshape(n, 6)
     with open(path, "wb") as f:
         f.write(bytes(head) + vlr + raw.tobytes())
 
 
+def write_parts(points, folder: str, scales=(0.001,) * 3, offsets=(0.0,) * 3, epsg: int | None = None, rows: int = 1_000_000):
+    """Write ``points(x, y, z, red, green, blue)`` as LAS files of at most ``rows`` points, a task at a time; returns (file, n).
+
+    ``folder`` must be visible to all executors; files appear whole, and a
+    task that runs again replaces its own.
+    """
+
+    def run(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+
+        task, k = TaskContext.get().partitionId(), 0
+        for b in batches:
+            for lo in range(0, len(b), rows):
+                part = b.iloc[lo : lo + rows]
+                name = os.path.join(folder, f"part-{task:05d}-{k:05d}.las")
+                xyz = np.rint((part[["x", "y", "z"]].to_numpy() - offsets) / scales).astype(np.int64)
+                write_las(f"{name}.{os.getpid()}", xyz, part[["red", "green", "blue"]].to_numpy(), scales, offsets, epsg)
+                os.replace(f"{name}.{os.getpid()}", name)
+                k += 1
+                yield pd.DataFrame({"file": [name], "n": [len(part)]})
+
+    os.makedirs(folder, exist_ok=True)
+    return points.select("x", "y", "z", "red", "green", "blue").mapInPandas(run, "file string, n long")
+
+
 def describe(path: str) -> dict:
     """Header facts with extent, area and point density (null when the area is 0); no point is read."""
     h = read_header(path)

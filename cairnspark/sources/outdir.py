@@ -5,6 +5,8 @@ from __future__ import annotations
 import gzip
 import os
 import re
+import tempfile
+import uuid
 from pathlib import Path
 
 from cairnspark.functions.scalar import TILE_NAME
@@ -13,6 +15,15 @@ MARKER = ".cairnspark"
 DOCUMENTS = {"tileset.json", "tileset.json.gz", "specs.json", "report.json", "properties.config.json", MARKER}
 
 
+def work_folder(spark, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir`` that plain file calls reach on all executors; a temporary one where that is unset (tests)."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cairnspark-")
+    path = re.sub("^file:/*", "/", top)
+    if "://" in path:
+        raise ValueError(f"{top} is no mounted folder")
+    return os.path.join(path, f"{name}-{uuid.uuid4().hex}")
+
+
 def inspect(out: str) -> dict:
     """Kind (empty, own, foreign), the files a rebuild would delete, and those it keeps."""
     root = Path(out)
