@@ -288,7 +288,8 @@ def _window_hashes(span: int):
 def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, most: int = MOST, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, at, n): ``n`` windows from byte ``at`` on start more than once in ``docs(doc_id, text)``."""
     texts = docs.select("doc_id", "text").where("text is not null")
-    again = texts.mapInArrow(_anchors(span, gram), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    # written first, so that the join has a shuffle of its own on both sides, whose large partitions Spark can split
+    again = cut(texts.mapInArrow(_anchors(span, gram), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "anchors")
     p = texts.mapInArrow(_pieces(span, gram), "h long, f1 long, f2 long, doc_id long, at long, n long").join(again, "h", "left_semi")
     p = cut(p, "pieces")
     q = cut(p.groupBy("h", "f1", "f2").agg(F.count("*").alias("c"), F.first("doc_id").alias("doc_id"), F.first("at").alias("at"), F.first("n").alias("n")), "distinct")
@@ -306,7 +307,7 @@ def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, most: int = MOS
     common = wide.groupBy("g1", "g2").agg(F.count("*").alias("k")).where("k > 1").select("g1", "g2")
     hot = wide.where("c = 1").join(common, ["g1", "g2"], "left_semi").select("doc_id", "at", F.lit(1).cast("long").alias("n"))
     out = cut(twice.union(sa).union(hot), "repeats")
-    for x in (p, q, got):
+    for x in (again, p, q, got):
         drop(x)
     return out
 
