@@ -94,9 +94,11 @@ def recurring_lines(
     by_doc = docs.where(F.col("text").isNotNull()).select("doc_id", sketch(F.col("text")).alias("sk"))
     per_doc = shaped.groupBy("template", "doc_id").agg(F.lit(1).alias("one"))
     pairs = per_doc.join(by_doc, "doc_id").groupBy("template", "sk").agg(F.count("*").alias("docs"))
-    kept = (
+    # written first, so that the join has a shuffle of its own on both sides, whose large partitions Spark can split
+    kept = cut(
         pairs.groupBy("template").agg(F.count("*").alias("c"), F.sum("docs").alias("docs"))
-        .where((F.col("c") >= min_support) & (F.col("c") >= min_ratio * F.col("docs"))).select("template")
+        .where((F.col("c") >= min_support) & (F.col("c") >= min_ratio * F.col("docs"))).select("template"),
+        "recurring",
     )
     return shaped.join(kept, "template", "left_semi").select("doc_id", "pos", "template")
 
