@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cairnspark.functions.scalar import clamp
 
-#: Neighbours in the order in which a categorical fill looks at them.
+# Neighbours in the order in which a categorical fill looks at them.
 AROUND = [(1, 1), (1, 0), (1, -1), (0, 1), (0, -1), (-1, 1), (-1, 0), (-1, -1)]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cairnspark.functions import scalar as S
 from cairnspark.schema import FACES
 
-#: Normal, tangent and bitangent of each face; tangent x bitangent = normal.
+# Normal, tangent and bitangent of each face (tangent x bitangent = normal), and the corner order.
 FRAMES = [
     ((1, 0, 0), (0, 1, 0), (0, 0, 1)),
     ((-1, 0, 0), (0, 0, 1), (0, 1, 0)),

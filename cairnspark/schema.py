@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 POINTS = "x double, y double, z double, red int, green int, blue int"
 CELLS = ["gx", "gy", "gz", "r", "g", "b", "w"]
 INDEX = ["gx", "gy", "gz"]
-#: Face columns, in the order in which meshes list faces, with the neighbour each looks at.
+# Face columns, in the order in which meshes list faces, with the neighbour each looks at.
 FACES = [("px", 1, 0, 0), ("mx", -1, 0, 0), ("py", 0, 1, 0), ("my", 0, -1, 0), ("pz", 0, 0, 1), ("mz", 0, 0, -1)]
 
 
