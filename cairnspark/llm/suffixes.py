@@ -41,7 +41,7 @@ from cairnspark.llm.textnum import GOLDEN, mix, rows
 SPAN, GRAM = 200, 64
 MOST = 512
 BUFFER = 1 << 18
-BROADCAST_ROWS = 250_000
+BROADCAST_ROWS = 20_000
 
 _U = np.uint64
 _BASES = (_U(0x9E6C63D0876A9A35), _U(0xC2B2AE3D27D4EB4F))
