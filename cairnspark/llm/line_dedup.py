@@ -107,7 +107,7 @@ def drop_lines(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """``docs`` without those lines; adds n_lines, n_lines_kept and the kept text as ``kept``."""
     gone = hits.groupBy(F.col("doc_id").alias("_cairn_id")).agg(F.collect_set("pos").alias("_cairn_gone"))
     lines = F.split(F.coalesce(docs["text"], F.lit("")), "\n")
-    out = docs.withColumn("_cairn_lines", lines).join(gone, docs["doc_id"] == F.col("_cairn_id"), "left")
+    out = docs.join(gone, docs["doc_id"] == F.col("_cairn_id"), "left").withColumn("_cairn_lines", lines)  # split after the shuffle
     keep = F.when(F.col("_cairn_gone").isNull(), F.col("_cairn_lines")).otherwise(F.filter("_cairn_lines", lambda x, i: ~F.array_contains("_cairn_gone", i)))
     out = out.withColumn("_cairn_keep", keep)
     return out.select(
