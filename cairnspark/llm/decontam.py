@@ -6,7 +6,10 @@ words are lower-cased.  Windows of ``window`` template tokens of documents and
 benchmark items meet in a hash join; a document is contaminated by an item if
 enough of the item's windows are found in it and the slot values map
 consistently (one value of the document for each value of the item), which
-catches re-parameterised questions.
+catches re-parameterised questions.  Both are judged for each occurrence of
+the item by itself, so differently filled versions in one document don't hide
+each other; matches scattered over a document count if they are consistent
+together.
 
 Items shorter than a window count as one window of their length (three tokens
 at least).  Windows with fewer than three literal tokens are too general and
@@ -154,6 +157,64 @@ def _doc_windows(lengths: list[int], wanted):
     return run
 
 
+def _occurrences(hits: list[dict], window: int):
+    """Groups of a pair's matches that are judged by themselves.
+
+    Matches of equal ``doc_pos - item_pos`` are one copy of the item.  Such
+    runs are also chained, where one goes on behind another with at most
+    ``window`` tokens put in or left out, which is a copy with edits.  All
+    matches together come last.
+    """
+    runs: dict[int, list[dict]] = {}
+    for m in sorted(hits, key=lambda m: (m["doc_pos"], m["item_pos"])):
+        runs.setdefault(m["doc_pos"] - m["item_pos"], []).append(m)
+    yield from runs.values()
+    if len(runs) > 1:
+        reach = max(m["item_pos"] for m in hits) + window
+        chains, live = [], []
+        for shift, run in runs.items():  # by first document position
+            at, item = run[0]["doc_pos"], run[0]["item_pos"]
+            live = [c for c in live if c[-1][-1]["doc_pos"] + reach >= at]
+            fits = [c for c in live if c[-1][-1]["doc_pos"] < at and c[-1][-1]["item_pos"] < item and abs(_shift(c) - shift) <= window]
+            if fits:
+                min(fits, key=lambda c: abs(_shift(c) - shift)).append(run)
+            else:
+                chains.append([run])
+                live.append(chains[-1])
+        for c in chains:
+            if len(c) > 1:
+                yield [m for run in c for m in run]
+        yield hits
+
+
+def _shift(chain: list[list[dict]]) -> int:
+    return chain[-1][0]["doc_pos"] - chain[-1][0]["item_pos"]
+
+
+def _judge(window: int, min_coverage: float, min_consistent: float):
+    """The pairs of which one occurrence, or all matches together, are covered and consistent."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for doc_id, item_id, total, hits in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "item_id", "total", "hits")), strict=True):
+                best = None
+                for part in _occurrences(hits, window):
+                    if len({m["h"] for m in part}) / total < min_coverage:
+                        continue
+                    maps = {x for m in part for x in zip(m["item_slots"], m["doc_slots"], strict=True)}
+                    consistent = len({i for i, _ in maps}) / len(maps) if maps else 1.0
+                    if consistent >= min_consistent:
+                        best = max(best or (False, 0.0), (all(i == d for i, d in maps), consistent))
+                if best:
+                    out.append((doc_id, item_id, len({m["h"] for m in hits}) / total, best[1], best[0]))
+            cols = list(zip(*out, strict=True)) or [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "coverage", "consistent", "exact"])
+
+    return run
+
+
 def matches(
     docs: DataFrame,
     items: DataFrame,
@@ -165,8 +226,8 @@ def matches(
     """(doc_id, item_id, coverage, consistent, exact) of the contaminated pairs.
 
     ``coverage`` is the share of the item's windows found, ``consistent`` the
-    share of slot values with one counterpart (1 without slots), ``exact``
-    whether all slots kept their values.
+    share of slot values with one counterpart (1 without slots) in the best
+    occurrence, ``exact`` whether all slots of an occurrence kept their values.
     """
     from cairnspark.llm.shared import cut
 
@@ -182,15 +243,10 @@ def matches(
     total = iw.groupBy("item_id").agg(F.countDistinct("h").alias("total"))
     side = iw.drop("k").join(total, "item_id")
     pairs = dw.join(F.broadcast(side) if wanted is not None else side, "h")
-    found = pairs.groupBy("doc_id", "item_id", "total").agg(F.collect_set("h").alias("hs"), F.collect_set(F.struct("item_slots", "doc_slots")).alias("slots"))
-    found = found.withColumn("coverage", F.size("hs") / F.col("total")).where(F.col("coverage") >= min_coverage)
-    maps = F.array_distinct(F.flatten(F.transform("slots", lambda s: F.arrays_zip(s["item_slots"].alias("i"), s["doc_slots"].alias("d")))))
-    found = found.select("doc_id", "item_id", "coverage", maps.alias("maps"))
-    sources = F.size(F.array_distinct(F.transform("maps", lambda m: m["i"])))
-    found = found.withColumn("consistent", F.when(F.size("maps") == 0, F.lit(1.0)).otherwise(sources / F.size("maps")))
-    return found.where(F.col("consistent") >= min_consistent).select(
-        "doc_id", "item_id", "coverage", "consistent", F.forall("maps", lambda m: m["i"] == m["d"]).alias("exact")
-    )
+    hit = F.struct("doc_pos", "item_pos", "h", "item_slots", "doc_slots")
+    found = pairs.groupBy("doc_id", "item_id", "total").agg(F.collect_set(hit).alias("hits"))
+    found = found.where(F.size(F.array_distinct(F.transform("hits", lambda m: m["h"]))) / F.col("total") >= min_coverage)
+    return found.mapInArrow(_judge(window, min_coverage, min_consistent), "doc_id long, item_id long, coverage double, consistent double, exact boolean")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

@@ -142,6 +142,20 @@ def test_decontamination_catches_reparameterised_questions(spark):
     assert decontam.decontaminate(docs.limit(0), items).count() == 0
 
 
+def test_decontamination_judges_each_occurrence(spark):
+    ask = "A train leaves the old station at {} km per hour and then {} counts {} red wagons before the bridge."
+    fills = [(10 * i + 7, name, 100 + i) for i, name in enumerate(["Alice Smith", "Bob Jones", "Carol", "Dan", "Eve Adams", "Frank"])]
+    sheet = "\n".join(ask.format(*f) for f in fills)
+    edited = "\n".join(ask.format(*f).replace("and then", "and then quite suddenly") for f in fills[1:])
+    scattered = "\n".join(f"The train leaves the old station at {i} km per hour and then stops." for i in range(40))
+    items = spark.createDataFrame([(i, ask.format(*f)) for i, f in enumerate(fills[:3])], "item_id long, text string")
+    docs = spark.createDataFrame([(0, sheet), (1, "\n".join(sheet.split("\n")[1:])), (2, edited), (3, sheet + "\n" + scattered)], "doc_id long, text string")
+    for bound in (10**6, 0):
+        got = {(r.doc_id, r.item_id): r for r in decontam.matches(docs, items, broadcast_windows=bound).collect()}
+        assert set(got) == {(d, i) for d in range(4) for i in range(3)}
+        assert {k for k, r in got.items() if r.exact} >= {(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (3, 0)} and not got[1, 0].exact
+
+
 def test_toxicity_learns_and_ignores_identity_terms(spark):
     rnd = random.Random(7)
     words = ["tree", "river", "stone", "music", "cloud", "paper"]
