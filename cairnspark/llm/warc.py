@@ -76,7 +76,7 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
 
 def parse(value: bytes) -> dict | None:
     """A record after its version line: header fields, header length and Content-Length; None if it is no record start."""
-    at = value.find(b"\r\n\r\n", 0, 1 << 16)
+    at = value.find(b"\r\n\r\n")
     if at < 0:
         return None
     fields = {}

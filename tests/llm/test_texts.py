@@ -253,6 +253,16 @@ def test_warc_round_trip_with_magic_in_payloads(spark):
     assert warc.read(spark, path).count() == 0
 
 
+def test_warc_keeps_pages_with_very_long_urls(spark):
+    body = "same payload " * 20
+    rows = [(0, "http://a/0", "first"), (1, "data:text/html," + "x" * 100_000, body), (2, "http://a/2", body), (3, "http://a/3?" + "q" * 70_000, "third"), (4, "http://a/4", "last")]
+    path = warc.new_path(spark, "t")
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    got = {r.page_id: r for r in warc.read(spark, path).collect()}
+    assert set(got) == {0, 1, 2, 3, 4}
+    assert got[1].payload_bytes == len(body) and got[2].record_type == "revisit" and got[2].refers_to == 1
+
+
 def test_pipeline_decisions(spark, tmp_path):
     import corpus_pipeline
 
