@@ -74,15 +74,18 @@ class Words:
 
     ``start``/``end`` are byte positions in ``data``, ``doc`` the row of each
     word, ``first`` the index of each row's first word (length rows + 1).
+    A run also ends before the byte positions ``breaks``.
     """
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray, word: np.ndarray | None = None):
+    def __init__(self, data: np.ndarray, offs: np.ndarray, word: np.ndarray | None = None, breaks: np.ndarray | None = None):
         self.data, self.offs = data, offs
         n = len(data)
         word = ~_SEP[data] if word is None else word
         edge = np.zeros(n + 1, dtype=bool)
         edge[offs[:-1]] = True
         edge[n] = True
+        if breaks is not None:
+            edge[breaks] = True
         before = np.zeros(n, dtype=bool)
         before[1:] = word[:-1]
         before &= ~edge[:n]

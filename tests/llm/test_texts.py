@@ -156,6 +156,18 @@ def test_decontamination_judges_each_occurrence(spark):
         assert {k for k, r in got.items() if r.exact} >= {(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (3, 0)} and not got[1, 0].exact
 
 
+def test_decontamination_finds_items_without_literals_and_spaces(spark):
+    texts = ["What is 15 + 27?", "7 km 12 kg 9 ml 14 mm 3 days 18 hours 21 km 4 weeks 16 tons", "2 + 2", "小明有十五个苹果，他又买了二十七个苹果，现在一共有多少个苹果？", "รถไฟออกจากสถานีเก่าตอนเช้า", "Alice Smith and Bob Jones"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [f"Here is one more for you. {t} And that is the end of it." for t in texts] + ["What is 15 + 28? 2 + 2 = 4, as 7 km 12 kg.", "小红有三本书。", "ALICE SMITH and Bob met.", "the question what is 15 + 27 was asked", "小学老师说：" + texts[3] + "请回答。", ""]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    docs = docs.where("doc_id <> 2").union(spark.createDataFrame([(2, "Solve this:\n2 + 2\nThen go on.")], docs.schema))
+    for bound in (10**6, 0):
+        got = {(r.doc_id, r.item_id): r for r in decontam.matches(docs, items, broadcast_windows=bound).collect()}
+        assert set(got) == {(i, i) for i in range(6)} | {(9, 0), (10, 3)}
+        assert all(r.exact for r in got.values())
+
+
 def test_toxicity_learns_and_ignores_identity_terms(spark):
     rnd = random.Random(7)
     words = ["tree", "river", "stone", "music", "cloud", "paper"]
