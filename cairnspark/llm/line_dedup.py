@@ -1,150 +1,195 @@
 """Line dedup by a log-template tree, in DataFrame functions only.
 
 A line's leaf in the tree is its token count and its first ``depth`` tokens,
-tokens with a digit generalised to ``<*>``.  Within a leaf that enough
-documents share, a token position keeps the tokens that enough lines have
-there and generalises the rest; the generalised line is its template.
-Templates that recur across documents are dropped from every document.
-
-Recurrence counts unrelated documents: a document is represented by a sketch
-(minimum of md5 over its words of eight or more characters), which copies and
-near copies of a document share, so a document that exists in many copies
-does not lose its own lines (near-duplicate removal handles those).
+tokens with a digit generalised to ``<*>``.  Within a leaf that enough texts
+share, a token position keeps the tokens that enough lines have there and
+generalises the rest; the generalised line is its template.  A template that
+at least ``min_support`` different texts hold recurs, and its lines are
+dropped from every document.
+
+Recurrence counts different texts: equal copies of a document count once, so a
+document does not lose its lines because it was copied (duplicate removal
+handles copies).  Copies that differ are different texts.
+
+Texts are not shuffled: each scan emits narrow rows of its lines, and the last
+scan rebuilds the templates of its lines and looks them up.  Those tables (the
+recurring templates, their leaves and fixed tokens) are constants of the plan
+up to ``lookup_bytes`` bytes in all, measured; beyond that the dropped
+positions, found in the narrow rows, are joined to the documents by a shuffle
+on the text's digest.  Both give the same rows.
 
 Edge cases: a null or empty text has no lines and stays as it is; blank lines
 and lines of under ``min_tokens`` tokens are never templates; repeated lines
 of one document count once; a document may lose all its lines (text becomes
-empty, ``n_lines_kept`` 0); an empty table gives an empty result; extra
-columns pass through.  Lines end at ``\\n``; all others are kept byte for byte.
+empty, ``n_lines_kept`` 0); repeated ids are separate rows, each judged by its
+own text; an empty table gives an empty result; extra columns pass through,
+but one that has the name of an output column is replaced by it.  Lines end at
+``\\n``; all others are kept byte for byte.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnspark.llm.shared import cut
+from cairnspark.llm.shared import constant_set, cut, drop, within
 
 DEPTH = 3
 MIN_TOKENS = 3
 MIN_SUPPORT = 10
-MIN_RATIO = 0.1
 MIN_FIXED = 0.5
-LONG_WORD = 8
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
+LOOKUP_BYTES = 4 << 20
+ANY = "<*>"
+
+
+class Recurring(NamedTuple):
+    """Tables in the shared folder: ``keys(kind, key)`` of the recurring templates (T), their leaves (L) and fixed tokens (C); ``shaped(digest, pos, leaf, template)``."""
+
+    keys: DataFrame
+    shaped: DataFrame
+    depth: int
+    min_tokens: int
 
 
 def masked(token: Column) -> Column:
-    return F.when(token.rlike("[0-9]"), F.lit("<*>")).otherwise(token)
+    return F.when(token.rlike("[0-9]"), F.lit(ANY)).otherwise(token)
+
+
+def tokens(line: Column) -> Column:
+    """What stands between spaces, tabs and carriage returns."""
+    return F.filter(F.split(line, "[ \\t\\r]+"), lambda t: t != "")
+
 
+def leaf_of(toks: Column, depth: int) -> Column:
+    return F.concat_ws(" ", F.size(toks).cast("string"), *[masked(F.get(toks, F.lit(i))) for i in range(depth)])
 
-def sketch(text: Column) -> Column:
-    words = F.filter(F.split(text, "[ \\t\\r\\n]+"), lambda t: F.length(t) >= LONG_WORD)
-    return F.coalesce(F.array_min(F.transform(words, lambda t: F.md5(t))), F.md5(text))
+
+def cell_of(leaf: Column, at: Column, token: Column) -> Column:
+    return F.concat_ws(" ", leaf, at.cast("string"), token)
+
+
+def template_of(shape: Column) -> Column:
+    return F.concat_ws(" ", F.size(shape).cast("string"), shape)
+
+
+def shape_of(toks: Column, leaf: Column, depth: int, fixed) -> Column:
+    """Masked tokens with those generalised that are not fixed at their position; ``fixed`` tells by the cell."""
+    return F.transform(toks, lambda t, i: F.when((i < depth) | fixed(cell_of(leaf, i, t)), t).otherwise(F.lit(ANY)))
 
 
 def line_table(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """(doc_id, pos, toks, leaf): the lines that can be templates; tokens stand between spaces, tabs and carriage returns.
+    """(digest, pos, toks, leaf): the lines that can be templates, of each row; the digest is the text's MD5.
 
     The tokens come out of the generator, so they are split once whatever reads them.
     """
-    per_line = F.transform(F.split("text", "\n"), lambda x: F.filter(F.split(x, "[ \\t\\r]+"), lambda t: t != ""))
-    d = docs.where(F.col("text").isNotNull()).select("doc_id", F.posexplode(per_line).alias("pos", "toks"))
+    d = docs.where(F.col("text").isNotNull()).select(F.unhex(F.md5("text")).alias("digest"), F.posexplode(F.transform(F.split("text", "\n"), tokens)).alias("pos", "toks"))
     d = d.where(F.size("toks") >= min_tokens)
-    return d.withColumn("leaf", F.concat_ws(" ", F.size("toks").cast("string"), *[masked(F.get("toks", F.lit(i))) for i in range(depth)]))
+    return d.withColumn("leaf", leaf_of(F.col("toks"), depth))
 
 
-def recurring_lines(
+def recurring(
     docs: DataFrame,
     depth: int = DEPTH,
     min_tokens: int = MIN_TOKENS,
     min_support: int = MIN_SUPPORT,
-    min_ratio: float = MIN_RATIO,
     min_fixed: float = MIN_FIXED,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """(doc_id, pos, template) of the lines whose template recurs.
+    broadcast_bytes: int = BROADCAST_BYTES,
+    lookup_bytes: int = LOOKUP_BYTES,
+) -> Recurring:
+    """The templates that recur in ``docs(text)``, and where.
 
     Only leaf keys are counted over all lines; whole lines go on only from
-    leaves that enough documents share.  Those leaves are broadcast while they
-    are at most ``broadcast_rows``, else joined by a shuffle.  Counts are
+    leaves that enough texts share, once for each different text.  Counts are
     partial aggregates, so a leaf or template with a third of all rows is no
-    hot task, and the joins that follow can be split by adaptive execution.
+    hot task.  Leaves are broadcast up to ``broadcast_bytes``, fixed tokens are
+    constants up to ``lookup_bytes``, measured; beyond, the same by a shuffle:
+    of lines by leaf, which adaptive execution can split, and of tokens by
+    leaf, position and token, which no line crowds.
     """
-    lines = line_table(docs, depth, min_tokens)
-    hot = cut(
-        lines.groupBy("leaf", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("c")).where(F.col("c") >= min_support).select("leaf"),
-        "leaves",
-    )
-    few = hot.count() <= broadcast_rows
+    lines = line_table(docs.select("text"), depth, min_tokens)
+    hot = cut(lines.groupBy("leaf", "digest").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("c")).where(F.col("c") >= min_support).select("leaf"), "leaves")
+    few = within(hot, "leaf", broadcast_bytes)
     in_hot = lines.join(F.broadcast(hot) if few else hot, "leaf", "left_semi")
-    in_hot = cut(in_hot.select("doc_id", "pos", "leaf", F.transform("toks", masked).alias("toks")), "lines")
+    in_hot = in_hot.select("digest", "pos", "leaf", F.transform("toks", masked).alias("toks"))
+    in_hot = cut(in_hot.groupBy("digest", "pos").agg(F.first("leaf").alias("leaf"), F.first("toks").alias("toks")), "lines")
     cells = in_hot.select("leaf", F.posexplode("toks").alias("at", "tok")).where(F.col("at") >= depth)
-    common = (
-        cells.groupBy("leaf", "at", "tok").agg(F.count("*").alias("c")).where(F.col("c") >= min_support)
-        .groupBy("leaf").agg(F.collect_set(F.concat_ws(" ", F.col("at").cast("string"), "tok")).alias("fixed"))
-    )
-    general = F.transform(
-        F.col("toks"),
-        lambda t, i: F.when((i < depth) | F.array_contains(F.coalesce("fixed", F.array().cast("array<string>")), F.concat_ws(" ", i.cast("string"), t)), t).otherwise(F.lit("<*>")),
-    )
-    shaped = in_hot.join(common, "leaf", "left").select("doc_id", "pos", F.explode(F.array(general)).alias("g"))
-    shaped = shaped.where(F.size(F.filter("g", lambda t: t != "<*>")) >= min_fixed * F.size("g"))
-    shaped = cut(shaped.select("doc_id", "pos", F.concat_ws(" ", F.size("g").cast("string"), "g").alias("template")), "templates")
-    by_doc = docs.where(F.col("text").isNotNull()).select("doc_id", sketch(F.col("text")).alias("sk"))
-    per_doc = shaped.groupBy("template", "doc_id").agg(F.lit(1).alias("one"))
-    pairs = per_doc.join(by_doc, "doc_id").groupBy("template", "sk").agg(F.count("*").alias("docs"))
-    # written first, so that the join has a shuffle of its own on both sides, whose large partitions Spark can split
-    kept = cut(
-        pairs.groupBy("template").agg(F.count("*").alias("c"), F.sum("docs").alias("docs"))
-        .where((F.col("c") >= min_support) & (F.col("c") >= min_ratio * F.col("docs"))).select("template"),
-        "recurring",
-    )
-    return shaped.join(kept, "template", "left_semi").select("doc_id", "pos", "template")
-
-
-def drop_lines(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """``docs`` without those lines; adds n_lines, n_lines_kept and the kept text as ``kept``."""
-    gone = hits.groupBy(F.col("doc_id").alias("_cairn_id")).agg(F.collect_set("pos").alias("_cairn_gone"))
-    lines = F.split(F.coalesce(docs["text"], F.lit("")), "\n")
-    out = docs.join(gone, docs["doc_id"] == F.col("_cairn_id"), "left").withColumn("_cairn_lines", lines)  # split after the shuffle
-    keep = F.when(F.col("_cairn_gone").isNull(), F.col("_cairn_lines")).otherwise(F.filter("_cairn_lines", lambda x, i: ~F.array_contains("_cairn_gone", i)))
-    out = out.withColumn("_cairn_keep", keep)
-    return out.select(
-        *[docs[c] for c in docs.columns],
-        F.when(F.col("_cairn_gone").isNull(), docs["text"]).otherwise(F.array_join("_cairn_keep", "\n")).alias("kept"),
-        F.when(docs["text"].isNull(), 0).otherwise(F.size("_cairn_lines")).cast("long").alias("n_lines"),
-        F.when(docs["text"].isNull(), 0).otherwise(F.size("_cairn_keep")).cast("long").alias("n_lines_kept"),
-    )
+    common = cut(cells.groupBy("leaf", "at", "tok").agg(F.count("*").alias("c")).where(F.col("c") >= min_support).select("leaf", cell_of(F.col("leaf"), F.col("at"), F.col("tok")).alias("key")), "common")
+    if within(common, "key", lookup_bytes):
+        shaped = in_hot.select("digest", "pos", "leaf", F.explode(F.array(shape_of(F.col("toks"), F.col("leaf"), depth, constant_set(common)))).alias("g"))
+    else:
+        known = in_hot.select("digest", "pos", "leaf", F.posexplode("toks").alias("at", "tok")).withColumn("key", cell_of(F.col("leaf"), F.col("at"), F.col("tok")))
+        known = known.join(common.select(F.col("key").alias("k2")), F.col("key") == F.col("k2"), "left")
+        token = F.when((F.col("at") < depth) | F.col("k2").isNotNull(), F.col("tok")).otherwise(F.lit(ANY))
+        shaped = known.groupBy("digest", "pos").agg(F.first("leaf").alias("leaf"), F.array_sort(F.collect_list(F.struct("at", token.alias("t")))).alias("v")).select("digest", "pos", "leaf", F.col("v.t").alias("g"))
+    shaped = shaped.where(F.size(F.filter("g", lambda t: t != ANY)) >= min_fixed * F.size("g"))
+    shaped = cut(shaped.select("digest", "pos", "leaf", template_of(F.col("g")).alias("template")), "templates")
+    found = shaped.groupBy("template", "leaf", "digest").agg(F.lit(1).alias("one")).groupBy("template", "leaf").agg(F.count("*").alias("c")).where(F.col("c") >= min_support)
+    found = cut(found.select("template", "leaf"), "recurring")
+    leaves = found.select("leaf").distinct()
+    keys = found.select(F.lit("T").alias("kind"), F.col("template").alias("key")).union(leaves.select(F.lit("L"), "leaf")).union(common.join(leaves, "leaf", "left_semi").select(F.lit("C"), "key"))
+    keys = cut(keys, "keys")
+    for used in (hot, in_hot, common, found):
+        drop(used)
+    return Recurring(keys, shaped, depth, min_tokens)
+
+
+def hits(found: Recurring) -> DataFrame:
+    """(digest, pos, template) of the lines to drop, once for each different text."""
+    kept = found.keys.where("kind = 'T'").select(F.col("key").alias("template"))
+    return found.shaped.join(kept, "template", "left_semi").select("digest", "pos", "template")
+
+
+def drop_lines(docs: DataFrame, found: Recurring, lookup_bytes: int = LOOKUP_BYTES, names: tuple[str, str, str] = ("kept", "n_lines", "n_lines_kept")) -> DataFrame:
+    """``docs`` without those lines: the kept text, the number of lines and of kept lines, added under ``names``."""
+    lines = F.split("text", "\n")
+    if within(found.keys, "key", lookup_bytes):
+        is_leaf, is_fixed, is_template = (constant_set(found.keys.where(F.col("kind") == k)) for k in "LCT")
+
+        def recurs(line: Column) -> Column:
+            leaf = F.transform(F.array(tokens(line)), lambda ts: F.struct(ts.alias("ts"), leaf_of(ts, found.depth).alias("leaf")))
+            shape = lambda x: shape_of(F.transform(x.ts, masked), x.leaf, found.depth, is_fixed)
+            return F.exists(leaf, lambda x: (F.size(x.ts) >= found.min_tokens) & is_leaf(x.leaf) & is_template(template_of(shape(x))))
+
+        out = docs.withColumn("_cairn_lines", F.transform(lines, lambda x: F.struct(x.alias("x"), recurs(x).alias("gone"))))
+        out = out.withColumn("_cairn_keep", F.filter("_cairn_lines", lambda x: ~x.gone))
+        kept = F.array_join(F.col("_cairn_keep.x"), "\n")
+    else:
+        gone = hits(found).groupBy(F.col("digest").alias("_cairn_digest")).agg(F.collect_set("pos").alias("_cairn_gone"))
+        out = docs.join(gone, F.unhex(F.md5(docs["text"])) == F.col("_cairn_digest"), "left").drop("_cairn_digest").withColumn("_cairn_lines", lines)
+        out = out.withColumn("_cairn_keep", F.when(F.col("_cairn_gone").isNull(), F.col("_cairn_lines")).otherwise(F.filter("_cairn_lines", lambda x, i: ~F.array_contains("_cairn_gone", i)))).drop("_cairn_gone")
+        kept = F.array_join("_cairn_keep", "\n")
+    counts = [F.when(F.col("text").isNull(), 0).otherwise(F.size(c)).cast("long") for c in ("_cairn_lines", "_cairn_keep")]
+    whole = F.size("_cairn_keep") == F.size("_cairn_lines")
+    return out.withColumns(dict(zip(names, [F.when(whole, F.col("text")).otherwise(kept), *counts], strict=True))).drop("_cairn_lines", "_cairn_keep")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = drop_lines(docs, recurring_lines(docs))
+    out = drop_lines(docs, recurring(docs))
     return out.select("doc_id", "n_lines", "n_lines_kept", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 OP9_SQL = f"""
-WITH d AS (SELECT doc_id, text,
-    coalesce(list_min(list_transform(list_filter(string_split_regex(text, '[ \\t\\r\\n]+'), lambda t: length(t) >= {LONG_WORD}), lambda t: md5(t))), md5(text)) AS sk
-  FROM documents),
-raw AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-ex AS (SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM raw WHERE text IS NOT NULL),
-tk AS (SELECT doc_id, pos, list_transform(list_filter(string_split_regex(line, '[ \\t\\r]+'), lambda t: t <> ''),
-    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS toks FROM ex),
+WITH d AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
+ex AS (SELECT text, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM d),
+tk AS (SELECT text, pos, list_transform(list_filter(string_split_regex(line, '[ \\t\\r]+'), lambda t: t <> ''),
+    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{ANY}' ELSE t END) AS toks FROM ex),
 li AS (SELECT *, concat_ws(' ', len(toks)::VARCHAR, array_to_string(toks[1:{DEPTH}], ' ')) AS leaf FROM tk WHERE len(toks) >= {MIN_TOKENS}),
-hot AS (SELECT leaf FROM li GROUP BY leaf HAVING count(DISTINCT doc_id) >= {MIN_SUPPORT}),
+hot AS (SELECT leaf FROM li GROUP BY leaf HAVING count(DISTINCT text) >= {MIN_SUPPORT}),
 ih AS (SELECT li.* FROM li SEMI JOIN hot USING (leaf)),
 ce AS (SELECT leaf, unnest(range(len(toks))) AS ix, unnest(toks) AS tok FROM ih),
 co AS (SELECT leaf, list(ix::VARCHAR || ' ' || tok) AS fixed FROM (SELECT leaf, ix, tok FROM ce WHERE ix >= {DEPTH} GROUP BY ALL HAVING count(*) >= {MIN_SUPPORT}) GROUP BY leaf),
-sh AS (SELECT doc_id, pos, list_transform(toks, lambda t, i: CASE WHEN i <= {DEPTH} OR list_contains(coalesce(fixed, []), (i - 1)::VARCHAR || ' ' || t) THEN t ELSE '<*>' END) AS g
+sh AS (SELECT text, pos, list_transform(toks, lambda t, i: CASE WHEN i <= {DEPTH} OR list_contains(coalesce(fixed, []), (i - 1)::VARCHAR || ' ' || t) THEN t ELSE '{ANY}' END) AS g
   FROM ih LEFT JOIN co USING (leaf)),
-tp AS (SELECT doc_id, pos, len(g)::VARCHAR || ' ' || array_to_string(g, ' ') AS template FROM sh
-  WHERE len(list_filter(g, lambda t: t <> '<*>')) >= {MIN_FIXED} * len(g)),
-ke AS (SELECT template FROM tp JOIN d USING (doc_id) GROUP BY template
-  HAVING count(DISTINCT sk) >= {MIN_SUPPORT} AND count(DISTINCT sk) >= {MIN_RATIO} * count(DISTINCT doc_id)),
-gone AS (SELECT doc_id, list(pos) AS gone FROM tp SEMI JOIN ke USING (template) GROUP BY doc_id),
-fi AS (SELECT raw.doc_id, text, ls, list_filter(ls, lambda x, i: NOT list_contains(coalesce(gone, []), i - 1)) AS keep FROM raw LEFT JOIN gone USING (doc_id))
+tp AS (SELECT text, pos, len(g)::VARCHAR || ' ' || array_to_string(g, ' ') AS template FROM sh
+  WHERE len(list_filter(g, lambda t: t <> '{ANY}')) >= {MIN_FIXED} * len(g)),
+ke AS (SELECT template FROM tp GROUP BY template HAVING count(DISTINCT text) >= {MIN_SUPPORT}),
+gone AS (SELECT text, list(pos) AS gone FROM tp SEMI JOIN ke USING (template) GROUP BY text),
+raw AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+fi AS (SELECT raw.doc_id, raw.text, ls, list_filter(ls, lambda x, i: NOT list_contains(coalesce(gone, []), i - 1)) AS keep FROM raw LEFT JOIN gone ON raw.text = gone.text)
 SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(ls) END::BIGINT AS n_lines,
   CASE WHEN text IS NULL THEN 0 ELSE len(keep) END::BIGINT AS n_lines_kept,
   sha256(array_to_string(keep, chr(10))) AS kept_sha256 FROM fi

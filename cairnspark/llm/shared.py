@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
+import json
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one of our own only where it is unset (tests)."""
+    """The folder of ``spark.checkpoint.dir``; in local mode, where all is one machine, the warehouse if that is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not at:
-        at = getattr(spark, "_cairn_dir", None) or tempfile.mkdtemp(prefix="cairnspark-")
-        spark._cairn_dir = at
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = f"{spark.conf.get('spark.sql.warehouse.dir')}/cairnspark"
     return at.rstrip("/")
 
 
@@ -43,13 +45,35 @@ def drop(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20
 
 
-def without(docs: DataFrame, ids: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``ids``; those are broadcast while they are few, else joined by a shuffle."""
-    gone = cut(ids.select(F.col("doc_id").alias("_cairn_id")), "gone")
-    return docs.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone, docs["doc_id"] == F.col("_cairn_id"), "left_anti")
+def within(df: DataFrame, column: str, limit: int) -> bool:
+    """Whether the strings of ``column``, 16 bytes more for each row, take at most ``limit`` bytes."""
+    return (df.agg(F.sum(F.octet_length(column).cast("long") + 16).alias("b")).first().b or 0) <= limit
+
+
+def constant_set(keys: DataFrame) -> Callable[[Column], Column]:
+    """Membership in the strings ``key`` of a table of checked size, as an expression.
+
+    The strings are dealt to as many hash buckets as there are strings, and
+    the buckets are a constant of the plan, so a test reads one short bucket
+    wherever it stands, in a lambda too, and no row carries the table.
+    """
+    n = max(1, keys.count())
+    at = F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")
+    buckets: list[list[str]] = [[] for _ in range(n)]
+    for r in keys.select(at.alias("at"), "key").toLocalIterator():
+        buckets[r["at"]].append(r["key"])
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<array<string>>")
+    return lambda x: F.array_contains(F.get(table, F.pmod(F.xxhash64(x), F.lit(n)).cast("int")), x)
+
+
+def without(docs: DataFrame, ids: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``ids``; those are broadcast up to ``broadcast_bytes`` of them, else joined by a shuffle."""
+    gone = cut(ids.select(F.col("doc_id").alias("_cairn_id")).distinct(), "gone")
+    few = gone.count() * 16 <= broadcast_bytes
+    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == F.col("_cairn_id"), "left_anti")
 
 
 def _union_find(batches):

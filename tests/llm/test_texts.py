@@ -42,23 +42,42 @@ def edge_lines():
     rows = [(0, None), (1, ""), (2, "\n\n"), (3, "a b"), (4, "lone line of four words\r\nx")]
     for i in range(30):
         rows.append((10 + i, f"head number{i} unique-{i} wordswords{i}\nPosted by user{i} on day {i * 7} under news\nshared footer of all\nshared footer of all\nbody{i} {'z' * i} longlongword{i}"))
-    return rows + [(100 + i, "copied document withlongwords here\nanother copied line of it") for i in range(40)]
-
-
-def test_line_dedup_edges_and_sql(spark):
-    df = spark.createDataFrame([(i, t, "l", "g", 1) for i, t in edge_lines()], TEXTS)
-    hits = line_dedup.recurring_lines(df)
-    out = {r.doc_id: r for r in line_dedup.drop_lines(df, hits).collect()}
+    rows += [(100 + i, "copied document withlongwords here\nanother copied line of it") for i in range(40)]
+    return rows + [(10, "x\nshared footer of all"), (10, "repeated id\nshared footer of all"), (200, "w " * 60_000 + "\nshared footer of all\n\tend")]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_line_dedup_edges_and_sql(spark, small):
+    df = spark.createDataFrame([(i, t, "l", "g", 1, 7, "k") for i, t in edge_lines()], TEXTS + ", n_lines int, kept string")
+    found = line_dedup.recurring(df, **(dict(broadcast_bytes=0, lookup_bytes=0) if small else {}))
+    lookup = 0 if small else line_dedup.LOOKUP_BYTES
+    every = line_dedup.drop_lines(df, found, lookup).collect()
+    out = {r.doc_id: r for r in every if r.doc_id != 10}
+    assert len(every) == len(edge_lines())
     assert out[0].text is None and out[0].kept is None and out[0].n_lines == 0
     assert out[1].n_lines == 1 and out[2].kept == "\n\n"
     assert out[15].n_lines == 5 and "footer" not in out[15].kept and "Posted" not in out[15].kept and out[15].kept.startswith("head")
     assert out[110].kept == out[110].text  # copies of one document are no recurrence
-    assert {r.gone for r in out.values()} == {"g"}
-    shuffled = line_dedup.drop_lines(df, line_dedup.recurring_lines(df, broadcast_rows=0))
-    assert {(r.doc_id, r.kept) for r in shuffled.collect()} == {(i, r.kept) for i, r in out.items()}
-    got = line_dedup.drop_lines(df, hits).select("doc_id", "n_lines", "n_lines_kept", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+    assert out[200].kept == "w " * 60_000 + "\n\tend"
+    assert {r.kept for r in every if r.doc_id == 10} >= {"x", "repeated id"}
+    assert {r.gone for r in every} == {"g"}
+    got = line_dedup.drop_lines(df, found, lookup).select("doc_id", "n_lines", "n_lines_kept", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
     same_as_sql(got, line_dedup.OP9_SQL, documents=df.select("doc_id", "text"))
-    assert line_dedup.recurring_lines(df.limit(0)).count() == 0
+    none = line_dedup.recurring(df.limit(0))
+    assert line_dedup.hits(none).count() == 0 and line_dedup.drop_lines(df.limit(0), none, lookup).count() == 0
+    assert line_dedup.drop_lines(df, none, lookup).where("n_lines <> n_lines_kept").count() == 0
+
+
+def test_line_dedup_drops_a_long_footer_of_short_documents(spark):
+    footer = "Copyright notice: " + " ".join(f"boilerplate{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40))
+    menu = "\n".join(["home news sport weather travel", "about contact imprint privacy terms", "follow us on all channels"])
+    rnd = random.Random(3)
+    body = lambda: " ".join("".join(rnd.choice("aeioustrnl") for _ in range(5)) for _ in range(6))
+    rows = [(i, f"{body()}\n{footer}") for i in range(300)] + [(1000 + i, f"{menu}\n{body()}\n{footer}") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = line_dedup.drop_lines(df, line_dedup.recurring(df))
+    got = {r.doc_id: r.kept for r in out.collect()}
+    assert all(got[i] == t.split("\n")[-2] for i, t in rows)
 
 
 def test_licenses_edges_and_sql(spark):
