@@ -22,10 +22,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines of recurring templates; a document that loses its last non-blank line goes."""
-    cleaned = line_dedup.drop_lines(docs, line_dedup.recurring_lines(docs))
-    cleaned = cleaned.where((F.col("n_lines_kept") == F.col("n_lines")) | (F.trim(F.regexp_replace("kept", "\\s+", "")) != ""))
-    changed = {"text": F.col("kept"), "n_chars": F.when(F.col("n_lines_kept") == F.col("n_lines"), F.col("n_chars")).otherwise(F.length("kept").cast("long"))}
-    return cleaned.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+    kept, before, after = names = ("_cairn_kept", "_cairn_before", "_cairn_after")
+    cleaned = line_dedup.drop_lines(docs, line_dedup.recurring(docs), names=names)
+    same = F.col(before) == F.col(after)
+    cleaned = cleaned.where(same | F.col(kept).rlike("\\S"))
+    changed = {"text": F.col(kept), "n_chars": F.when(same, F.col("n_chars")).otherwise(F.length(kept))}
+    return cleaned.select(*[changed[c].cast(t).alias(c) if c in changed else F.col(c) for c, t in docs.dtypes])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
