@@ -59,8 +59,13 @@ def masked(token: Column) -> Column:
 
 
 def tokens(line: Column) -> Column:
-    """What stands between spaces, tabs and carriage returns."""
-    return F.filter(F.split(line, "[ \\t\\r]+"), lambda t: t != "")
+    """What stands between spaces in a line of ``lines_of``."""
+    return F.array_remove(F.split(line, " "), "")
+
+
+def lines_of(text: Column) -> Column:
+    """Lines with tabs and carriage returns as spaces: what stands between spaces are their tokens."""
+    return F.split(F.replace(F.replace(text, F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" ")), "\n")
 
 
 def leaf_of(toks: Column, depth: int) -> Column:
@@ -80,14 +85,17 @@ def shape_of(toks: Column, leaf: Column, depth: int, fixed) -> Column:
     return F.transform(toks, lambda t, i: F.when((i < depth) | fixed(cell_of(leaf, i, t)), t).otherwise(F.lit(ANY)))
 
 
-def line_table(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """(digest, pos, toks, leaf): the lines that can be templates, of each row; the digest is the text's MD5.
+def line_table(docs: DataFrame, depth: int, min_tokens: int, whole: bool) -> DataFrame:
+    """(digest, leaf) of the lines that can be templates, of each row; (digest, pos, toks, leaf) if ``whole``. The digest is the text's MD5.
 
-    The tokens come out of the generator, so they are split once whatever reads them.
+    Digest and lines are made below the generator, once for a text.
     """
-    d = docs.where(F.col("text").isNotNull()).select(F.unhex(F.md5("text")).alias("digest"), F.posexplode(F.transform(F.split("text", "\n"), tokens)).alias("pos", "toks"))
-    d = d.where(F.size("toks") >= min_tokens)
-    return d.withColumn("leaf", leaf_of(F.col("toks"), depth))
+    d = docs.where(F.col("text").isNotNull()).select(F.unhex(F.md5("text")).alias("digest"), lines_of(F.col("text")).alias("lines"))
+    if whole:
+        d = d.select("digest", F.posexplode(F.transform("lines", tokens)).alias("pos", "toks")).where(F.size("toks") >= min_tokens)
+        return d.withColumn("leaf", leaf_of(F.col("toks"), depth))
+    leaf = F.transform(F.transform("lines", tokens), lambda ts: F.when(F.size(ts) >= min_tokens, leaf_of(ts, depth)))
+    return d.select("digest", F.explode(F.array_compact(leaf)).alias("leaf"))
 
 
 def recurring(
@@ -109,10 +117,10 @@ def recurring(
     of lines by leaf, which adaptive execution can split, and of tokens by
     leaf, position and token, which no line crowds.
     """
-    lines = line_table(docs.select("text"), depth, min_tokens)
-    hot = cut(lines.groupBy("leaf", "digest").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("c")).where(F.col("c") >= min_support).select("leaf"), "leaves")
+    texts = docs.select("text")
+    hot = cut(line_table(texts, depth, min_tokens, False).groupBy("leaf", "digest").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("c")).where(F.col("c") >= min_support).select("leaf"), "leaves")
     few = within(hot, "leaf", broadcast_bytes)
-    in_hot = lines.join(F.broadcast(hot) if few else hot, "leaf", "left_semi")
+    in_hot = line_table(texts, depth, min_tokens, True).join(F.broadcast(hot) if few else hot, "leaf", "left_semi")
     in_hot = in_hot.select("digest", "pos", "leaf", F.transform("toks", masked).alias("toks"))
     in_hot = cut(in_hot.groupBy("digest", "pos").agg(F.first("leaf").alias("leaf"), F.first("toks").alias("toks")), "lines")
     cells = in_hot.select("leaf", F.posexplode("toks").alias("at", "tok")).where(F.col("at") >= depth)
@@ -153,7 +161,8 @@ def drop_lines(docs: DataFrame, found: Recurring, lookup_bytes: int = LOOKUP_BYT
             shape = lambda x: shape_of(F.transform(x.ts, masked), x.leaf, found.depth, is_fixed)
             return F.exists(leaf, lambda x: (F.size(x.ts) >= found.min_tokens) & is_leaf(x.leaf) & is_template(template_of(shape(x))))
 
-        out = docs.withColumn("_cairn_lines", F.transform(lines, lambda x: F.struct(x.alias("x"), recurs(x).alias("gone"))))
+        # lines_of has the same lines, byte for byte but for the spaces
+        out = docs.withColumn("_cairn_lines", F.arrays_zip(lines.alias("x"), F.transform(lines_of(F.col("text")), recurs).alias("gone")))
         out = out.withColumn("_cairn_keep", F.filter("_cairn_lines", lambda x: ~x.gone))
         kept = F.array_join(F.col("_cairn_keep.x"), "\n")
     else:
