@@ -58,18 +58,23 @@ def masked(token: Column) -> Column:
     return F.when(token.rlike("[0-9]"), F.lit(ANY)).otherwise(token)
 
 
+def lines_of(text: Column) -> Column:
+    """Lines as their tokens with one space between: tokens stand between spaces, tabs and carriage returns."""
+    plain = F.replace(F.replace(text, F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" "))
+    return F.transform(F.split(plain, "\n"), lambda x: F.trim(F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, "  +", " ")).otherwise(x)))
+
+
 def tokens(line: Column) -> Column:
-    """What stands between spaces in a line of ``lines_of``."""
-    return F.array_remove(F.split(line, " "), "")
+    return F.split(line, " ")
 
 
-def lines_of(text: Column) -> Column:
-    """Lines with tabs and carriage returns as spaces: what stands between spaces are their tokens."""
-    return F.split(F.replace(F.replace(text, F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" ")), "\n")
+def n_tokens(line: Column) -> Column:
+    return F.when(line == "", 0).otherwise(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
 
 
-def leaf_of(toks: Column, depth: int) -> Column:
-    return F.concat_ws(" ", F.size(toks).cast("string"), *[masked(F.get(toks, F.lit(i))) for i in range(depth)])
+def leaf_of(line: Column, depth: int) -> Column:
+    head = F.transform(F.split(F.substring_index(line, " ", depth), " "), masked)
+    return F.concat_ws(" ", n_tokens(line).cast("string"), head)
 
 
 def cell_of(leaf: Column, at: Column, token: Column) -> Column:
@@ -77,7 +82,7 @@ def cell_of(leaf: Column, at: Column, token: Column) -> Column:
 
 
 def template_of(shape: Column) -> Column:
-    return F.concat_ws(" ", F.size(shape).cast("string"), shape)
+    return F.array_join(F.transform(F.array(shape), lambda g: F.concat_ws(" ", F.size(g).cast("string"), g)), "")
 
 
 def shape_of(toks: Column, leaf: Column, depth: int, fixed) -> Column:
@@ -85,17 +90,16 @@ def shape_of(toks: Column, leaf: Column, depth: int, fixed) -> Column:
     return F.transform(toks, lambda t, i: F.when((i < depth) | fixed(cell_of(leaf, i, t)), t).otherwise(F.lit(ANY)))
 
 
-def line_table(docs: DataFrame, depth: int, min_tokens: int, whole: bool) -> DataFrame:
-    """(digest, leaf) of the lines that can be templates, of each row; (digest, pos, toks, leaf) if ``whole``. The digest is the text's MD5.
+def line_table(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
+    """(digest, pos, line, leaf): the lines that can be templates, of each row; the digest is the text's MD5.
 
-    Digest and lines are made below the generator, once for a text.
+    The digest is made below the generator, once for a text; the lines are
+    made in it, where Spark infers no filters that would make them again.  A
+    leaf needs no tokens but its first.
     """
-    d = docs.where(F.col("text").isNotNull()).select(F.unhex(F.md5("text")).alias("digest"), lines_of(F.col("text")).alias("lines"))
-    if whole:
-        d = d.select("digest", F.posexplode(F.transform("lines", tokens)).alias("pos", "toks")).where(F.size("toks") >= min_tokens)
-        return d.withColumn("leaf", leaf_of(F.col("toks"), depth))
-    leaf = F.transform(F.transform("lines", tokens), lambda ts: F.when(F.size(ts) >= min_tokens, leaf_of(ts, depth)))
-    return d.select("digest", F.explode(F.array_compact(leaf)).alias("leaf"))
+    d = docs.where(F.col("text").isNotNull()).select(F.unhex(F.md5("text")).alias("digest"), "text")
+    d = d.select("digest", F.posexplode(lines_of(F.col("text"))).alias("pos", "line")).where(n_tokens(F.col("line")) >= min_tokens)
+    return d.withColumn("leaf", leaf_of(F.col("line"), depth))
 
 
 def recurring(
@@ -117,12 +121,12 @@ def recurring(
     of lines by leaf, which adaptive execution can split, and of tokens by
     leaf, position and token, which no line crowds.
     """
-    texts = docs.select("text")
-    hot = cut(line_table(texts, depth, min_tokens, False).groupBy("leaf", "digest").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("c")).where(F.col("c") >= min_support).select("leaf"), "leaves")
+    lines = line_table(docs.select("text"), depth, min_tokens)
+    hot = cut(lines.groupBy("leaf", "digest").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("c")).where(F.col("c") >= min_support).select("leaf"), "leaves")
     few = within(hot, "leaf", broadcast_bytes)
-    in_hot = line_table(texts, depth, min_tokens, True).join(F.broadcast(hot) if few else hot, "leaf", "left_semi")
-    in_hot = in_hot.select("digest", "pos", "leaf", F.transform("toks", masked).alias("toks"))
-    in_hot = cut(in_hot.groupBy("digest", "pos").agg(F.first("leaf").alias("leaf"), F.first("toks").alias("toks")), "lines")
+    in_hot = lines.join(F.broadcast(hot) if few else hot, "leaf", "left_semi")
+    in_hot = in_hot.select("digest", "pos", "leaf", "line").groupBy("digest", "pos").agg(F.first("leaf").alias("leaf"), F.first("line").alias("line"))
+    in_hot = cut(in_hot.select("digest", "pos", "leaf", F.transform(tokens(F.col("line")), masked).alias("toks")), "lines")
     cells = in_hot.select("leaf", F.posexplode("toks").alias("at", "tok")).where(F.col("at") >= depth)
     common = cut(cells.groupBy("leaf", "at", "tok").agg(F.count("*").alias("c")).where(F.col("c") >= min_support).select("leaf", cell_of(F.col("leaf"), F.col("at"), F.col("tok")).alias("key")), "common")
     if within(common, "key", lookup_bytes):
@@ -157,9 +161,8 @@ def drop_lines(docs: DataFrame, found: Recurring, lookup_bytes: int = LOOKUP_BYT
         is_leaf, is_fixed, is_template = (constant_set(found.keys.where(F.col("kind") == k)) for k in "LCT")
 
         def recurs(line: Column) -> Column:
-            leaf = F.transform(F.array(tokens(line)), lambda ts: F.struct(ts.alias("ts"), leaf_of(ts, found.depth).alias("leaf")))
-            shape = lambda x: shape_of(F.transform(x.ts, masked), x.leaf, found.depth, is_fixed)
-            return F.exists(leaf, lambda x: (F.size(x.ts) >= found.min_tokens) & is_leaf(x.leaf) & is_template(template_of(shape(x))))
+            shape = lambda leaf: shape_of(F.transform(tokens(line), masked), leaf, found.depth, is_fixed)
+            return F.exists(F.array(leaf_of(line, found.depth)), lambda leaf: is_leaf(leaf) & is_template(template_of(shape(leaf))))
 
         # lines_of has the same lines, byte for byte but for the spaces
         out = docs.withColumn("_cairn_lines", F.arrays_zip(lines.alias("x"), F.transform(lines_of(F.col("text")), recurs).alias("gone")))

@@ -66,7 +66,8 @@ def constant_set(keys: DataFrame) -> Callable[[Column], Column]:
     for r in keys.select(at.alias("at"), "key").toLocalIterator():
         buckets[r["at"]].append(r["key"])
     table = F.from_json(F.lit(json.dumps(buckets)), "array<array<string>>")
-    return lambda x: F.array_contains(F.get(table, F.pmod(F.xxhash64(x), F.lit(n)).cast("int")), x)
+    # the lambda makes x once
+    return lambda x: F.exists(F.array(x), lambda k: F.array_contains(F.get(table, F.pmod(F.xxhash64(k), F.lit(n)).cast("int")), k))
 
 
 def without(docs: DataFrame, ids: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
