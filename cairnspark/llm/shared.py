@@ -45,6 +45,21 @@ def drop(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Scratch:
+    """Tables that one operator cuts; ``clear`` deletes them once its result is written."""
+
+    def __init__(self) -> None:
+        self.held: list[DataFrame] = []
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        self.held.append(cut(df, name))
+        return self.held[-1]
+
+    def clear(self) -> None:
+        while self.held:
+            drop(self.held.pop())
+
+
 BROADCAST_BYTES = 32 << 20
 
 

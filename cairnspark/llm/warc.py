@@ -15,8 +15,10 @@ together again from their pieces.
 
 Edge cases: a null payload is empty; a null URL is written empty, line breaks
 in it become spaces; an empty table writes no record and reads none; very long
-payloads are one record; extra columns are ignored; repeated page ids keep a
-record each.
+payloads and header fields are one record; extra columns are ignored; a row
+without a page id has a record of that name and is read back without one;
+repeated page ids keep a record each, and a revisit finds its response by page
+id and payload digest together.
 """
 
 from __future__ import annotations
@@ -28,22 +30,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairnspark.llm.shared import cut, new_path
+from cairnspark.llm.shared import Scratch, cut, drop, new_path, within
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 MIN_REVISIT = 100
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
 DATE = "2026-01-01T00:00:00Z"
 
 
-def write(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT, broadcast_rows: int = BROADCAST_ROWS) -> None:
+def write(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT, broadcast_bytes: int = BROADCAST_BYTES) -> None:
     """Write ``pages(page_id, url, html)`` as WARC files under ``path``."""
     d = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
+    urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     d = d.withColumn("size", F.octet_length("html").cast("long")).withColumn("digest", F.sha2("html", 256))
     narrow = d.where(F.col("size") >= min_revisit).select("digest", "page_id")
     firsts = cut(narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("c")).where("c > 1").select(F.col("digest").alias("dg"), "first"), "digests")
-    if firsts.count() <= broadcast_rows:
+    if within(firsts, "dg", broadcast_bytes):
         d = d.join(F.broadcast(firsts), (F.col("digest") == F.col("dg")) & (F.col("size") >= min_revisit), "left")
         first = F.when(F.col("first") != F.col("page_id"), F.col("first"))
     else:  # payloads move only by page id, which no key crowds
@@ -56,16 +59,17 @@ def write(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT, broadcast
         "\r\n",
         F.lit(MAGIC.strip()),
         F.when(first.isNull(), "WARC-Type: response").otherwise("WARC-Type: revisit"),
-        F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.col("page_id").cast("string"), F.lit(">")),
+        F.concat(F.lit("WARC-Record-ID: "), urn(F.col("page_id"))),
         F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", "[\\r\\n]+", " ")),
         F.lit(f"WARC-Date: {DATE}"),
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("WARC-Payload-Digest: sha256:"), "digest"),
         F.when(first.isNotNull(), F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-        F.concat(F.lit("WARC-Refers-To: <urn:page:"), first.cast("string"), F.lit(">")),
+        F.when(first.isNotNull(), F.concat(F.lit("WARC-Refers-To: "), urn(first))),
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
     )
     d.select(F.concat(head, F.lit(END), block)).write.option("lineSep", END).text(path)
+    drop(firsts)
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -97,12 +101,16 @@ def _page(urn: bytes | None) -> int | None:
 
 
 def content(value: bytes, got: dict) -> tuple[int | None, str, int | None, int, str]:
-    """Page id, type, page referred to, payload size and SHA-256 of a complete record."""
+    """Page id, type, page referred to, payload size and SHA-256 of a complete record; a revisit's SHA-256 is the one it names."""
     block = value[got["head"] : got["head"] + got["length"]]
     at = block.find(b"\r\n\r\n")
     payload = block[at + 4 :] if at >= 0 else b""
     f = got["fields"]
-    return _page(f.get(b"warc-record-id")), f[b"warc-type"].decode(), _page(f.get(b"warc-refers-to")), len(payload), hashlib.sha256(payload).hexdigest()
+    kind = f[b"warc-type"].decode()
+    digest = hashlib.sha256(payload).hexdigest()
+    if kind == "revisit":
+        digest = f.get(b"warc-payload-digest", b"").rpartition(b":")[2].decode()
+    return _page(f.get(b"warc-record-id")), kind, _page(f.get(b"warc-refers-to")), len(payload), digest
 
 
 CANDIDATE = (
@@ -162,38 +170,41 @@ def _chain(pdf):
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, record_type, refers_to, payload_bytes, payload_digest) of the records on each file's chain."""
-    cand = cut(pieces(spark, path).mapInArrow(_candidates, CANDIDATE), "candidates")
+    work = Scratch()
+    cand = work.cut(pieces(spark, path).mapInArrow(_candidates, CANDIDATE), "candidates")
     splits = cand.groupBy("path", "blk").agg(F.sum("size").alias("bytes"))
     before = Window.partitionBy("path").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    base = cut(splits.select("path", "blk", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base")), "splits")
+    base = work.cut(splits.select("path", "blk", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base")), "splits")
     # offsets of version lines: the first piece of a file precedes one and has offset -len(MAGIC)
     c = cand.join(base, ["path", "blk"]).select("*", (F.col("base") + F.col("rel")).alias("off"), (F.col("base") + F.col("exit")).alias("out"), (F.col("base") + F.col("succ")).alias("next"))
-    c = cut(c, "offsets")
+    c = work.cut(c, "offsets")
     starts = c.where("start")
     most = base.groupBy("path").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first().n or 0
     reach = starts.select("path").distinct().withColumn("off", F.lit(0).cast("long"))
     jump = starts.select("path", "off", F.col("out").alias("to"))
     for _ in range(int(np.ceil(np.log2(max(1, most))))):
-        reach = cut(reach.union(reach.join(jump, ["path", "off"]).select("path", F.col("to").alias("off"))).distinct(), "reach")
-        jump = cut(jump.join(jump.select("path", F.col("off").alias("to"), F.col("to").alias("far")), ["path", "to"], "left").select("path", "off", F.coalesce("far", "to").alias("to")), "jump")
+        reach = work.cut(reach.union(reach.join(jump, ["path", "off"]).select("path", F.col("to").alias("off"))).distinct(), "reach")
+        jump = work.cut(jump.join(jump.select("path", F.col("off").alias("to"), F.col("to").alias("far")), ["path", "to"], "left").select("path", "off", F.coalesce("far", "to").alias("to")), "jump")
     entry = starts.select("path", "blk", "off").join(reach, ["path", "off"]).groupBy("path", "blk").agg(F.min("off").alias("entry"))
     true = starts.select("path", "blk", "off", F.col("next").alias("succ")).join(entry, ["path", "blk"]).groupBy("path", "blk").applyInPandas(_chain, "path string, off long")
-    records = cut(starts.join(true, ["path", "off"]), "records")
+    records = work.cut(starts.join(true, ["path", "off"]), "records")
     fields = ["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest"]
     out = records.where("whole").select(*fields)
     torn = records.where("not whole").select("path", F.col("off").alias("rec"), "next")
     if torn.limit(1).count():
-        out = out.union(_mend(spark, path, c, torn).select(*fields))
+        out = out.union(_mend(spark, path, c, torn, work).select(*fields))
+    out = cut(out, "read")
+    work.clear()
     return out
 
 
-def _mend(spark: SparkSession, path: str, c: DataFrame, torn: DataFrame) -> DataFrame:
+def _mend(spark: SparkSession, path: str, c: DataFrame, torn: DataFrame, work: Scratch) -> DataFrame:
     """Records whose block holds the magic, from the pieces between their start and their successor."""
     marks = c.select("path", "blk", "rel", "off").join(torn.select("path", F.col("rec").alias("off"), "rec", "next"), ["path", "off"], "left")
     order = Window.partitionBy("path").orderBy("off").rowsBetween(Window.unboundedPreceding, 0)
     owned = marks.select("path", "blk", "rel", "off", F.last("rec", True).over(order).alias("rec"), F.last("next", True).over(order).alias("next"))
-    wanted = cut(owned.where("rec is not null and off < next").select("path", "blk", "rel", "off", "rec"), "wanted")
-    few = wanted.count() <= BROADCAST_ROWS
+    wanted = work.cut(owned.where("rec is not null and off < next").select("path", "blk", "rel", "off", "rec"), "wanted")
+    few = within(wanted, "path", BROADCAST_BYTES)
     parts = pieces(spark, path).mapInArrow(_placed, "path string, blk long, rel long, value binary")
     parts = parts.join(F.broadcast(wanted) if few else wanted, ["path", "blk", "rel"])
     whole = parts.groupBy("path", "rec").agg(F.array_sort(F.collect_list(F.struct("off", "value"))).alias("v")).select(F.col("v.value").alias("v"))
@@ -226,12 +237,12 @@ def _joined(batches):
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     write(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), path)
-    got = cut(read(spark, path), "pages")
+    got = read(spark, path)
     responses = got.where("record_type = 'response'")
-    target = responses.select(F.col("page_id").alias("t"), F.col("payload_bytes").alias("tb"), F.col("payload_digest").alias("td"))
-    revisits = got.where("record_type = 'revisit'").join(target, F.col("refers_to") == F.col("t"))
-    out = responses.select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"))
-    return out.union(revisits.select("page_id", "tb", "td", "record_type", "refers_to"))
+    again = got.where("record_type = 'revisit'").select("page_id", "refers_to", F.col("payload_digest").alias("digest"))
+    first = responses.select(F.col("page_id").alias("t"), F.col("payload_bytes").alias("tb"), F.col("payload_digest").alias("td")).distinct()
+    revisits = again.join(first, F.col("refers_to").eqNullSafe(F.col("t")) & (F.col("digest") == F.col("td"))).select("page_id", "tb", "td", F.lit("revisit"), "refers_to")
+    return responses.select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to")).union(revisits)
 
 
 OP7_SQL = f"""

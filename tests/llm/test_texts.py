@@ -269,10 +269,10 @@ def test_warc_round_trip_with_magic_in_payloads(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string, path string, blk int")
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
-        for split, few in (("128m", 10**6), ("3k", 0)):
+        for split, few in (("128m", 1 << 20), ("3k", 0)):
             spark.conf.set("spark.sql.files.maxPartitionBytes", split)
             path = warc.new_path(spark, "t")
-            warc.write(df.coalesce(2), path, broadcast_rows=few)
+            warc.write(df.coalesce(2), path, broadcast_bytes=few)
             got = {r.page_id: r for r in warc.read(spark, path).collect()}
             assert set(got) == set(range(len(rows)))
             assert got[3].record_type == "revisit" and got[3].refers_to == 2 and got[10].record_type == "response"
@@ -294,6 +294,13 @@ def test_warc_keeps_pages_with_very_long_urls(spark):
     assert got[1].payload_bytes == len(body) and got[2].record_type == "revisit" and got[2].refers_to == 1
 
 
+def test_warc_query_has_a_row_per_page(spark, tmp_path):
+    body, other = "equal payload " * 20, "another payload " * 20
+    rows = [(1, "a", body), (1, "b", body), (5, "c", body), (1, "d", other), (6, "e", other), (7, None, "z" * 2_000_000), (8, "f", "z" * 2_000_000), (9, "g", None)]
+    spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, record_type string").write.parquet(f"{tmp_path}/pages.parquet")
+    same_as_sql(QUERIES["op7_warc"](spark, str(tmp_path)), ORACLES["op7_warc"], pages=f"{tmp_path}/pages.parquet/*.parquet")
+
+
 def test_pipeline_decisions(spark, tmp_path):
     import corpus_pipeline
 
