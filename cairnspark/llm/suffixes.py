@@ -17,13 +17,17 @@ a run, its bytes a piece of under 2 * span bytes.
    exact as well and has no hot group.
 
 Counts are partial aggregates and joins can be split, so a passage found in a
-third of all documents makes no hot task.  Texts are read by scans; hits reach
-them by a broadcast while they are few (checked), else by a shuffle.
+third of all documents makes no hot task.  Every size takes the same path:
+scans read the texts, narrow rows are joined, and texts with pieces to sort or
+spans to remove meet them in a shuffle on the row's key.  Blocks bound a
+worker's memory inside a document too: a long text is read in segments that
+overlap by a span.
 
 Edge cases: a null text is empty (0 bytes); texts shorter than ``span`` lose
-nothing; equal rows remove each other; long texts are read in whole; repeated
-ids are treated as one document's rows only in the result join, so ids must be
-unique; an empty table gives an empty result; extra columns are ignored.
+nothing; equal rows remove each other; repeated ids are rows of their own (a
+row's key is its id and a hash of its text; equal rows have equal results); a
+null id is a row as well; an empty table gives an empty result; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -35,13 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnspark.llm.shared import cut, drop
+from cairnspark.llm.shared import Scratch, cut
 from cairnspark.llm.textnum import GOLDEN, mix, rows
 
 SPAN, GRAM = 200, 64
 MOST = 512
 BUFFER = 1 << 18
-BROADCAST_ROWS = 20_000
+SEGMENT = 1 << 20
 
 _U = np.uint64
 _BASES = (_U(0x9E6C63D0876A9A35), _U(0xC2B2AE3D27D4EB4F))
@@ -144,10 +148,21 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def segments(batch: pa.RecordBatch, span: int, size: int = SEGMENT):
+    """Blocks of a batch: first row, bytes, row offsets and the first byte's place in its text; a long text comes in parts that overlap by a span."""
+    for lo, _, data, offs in rows(batch, "text"):
+        if len(offs) == 2 and len(data) > 2 * size:
+            for at in range(0, len(data) - span + 1, size):  # the windows that start in [at, at + size)
+                part = data[at : at + size + span - 1]
+                yield lo, part, np.array([0, len(part)]), at
+        else:
+            yield lo, data, offs, 0
+
+
 def _anchors(span: int, gram: int):
     def run(batches):
         for batch in batches:
-            got = [pieces(d, o, span, gram, False)[3] for _, _, d, o in rows(batch, "text")]
+            got = [pieces(d, o, span, gram, False)[3] for _, d, o, _ in segments(batch, span)]
             if got:
                 h, n = np.unique(np.concatenate(got), return_counts=True)
                 yield pa.RecordBatch.from_arrays([_long(h), pa.array(n)], names=["h", "n"])
@@ -158,10 +173,10 @@ def _anchors(span: int, gram: int):
 def _pieces(span: int, gram: int):
     def run(batches):
         for batch in batches:
-            for lo, hi, data, offs in rows(batch, "text"):
+            for lo, data, offs, base in segments(batch, span):
                 doc, at, n, h, f1, f2 = pieces(data, offs, span, gram)
-                ids = batch.column("doc_id").slice(lo, hi - lo).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays([_long(h), _long(f1), _long(f2), ids, pa.array(at), pa.array(n)], names=["h", "f1", "f2", "doc_id", "at", "n"])
+                key = [batch.column(c).take(pa.array(doc + lo)) for c in ("id", "tag")]
+                yield pa.RecordBatch.from_arrays([_long(h), _long(f1), _long(f2), *key, pa.array(at + base), pa.array(n)], names=["h", "f1", "f2", "id", "tag", "at", "n"])
 
     return run
 
@@ -243,27 +258,28 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sort_suffixes(span: int):
+    names = ["id", "tag", "at", "n"]
+
     def flush(held):
         flags = repeated_windows([x[0] for x in held], span)
-        doc, at, n = [], [], []
-        for (_, d, a, c), f in zip(held, flags, strict=True):
+        out = [[] for _ in names]
+        for (_, i, t, a, c), f in zip(held, flags, strict=True):
             if c == 1:
                 s, k = runs(f)
-                doc += [d] * len(s)
-                at += (s + a).tolist()
-                n += k.tolist()
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(at, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "at", "n"])
+                for col, v in zip(out, ([i] * len(s), [t] * len(s), (s + a).tolist(), k.tolist()), strict=True):
+                    col += v
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
 
     def run(batches):
         held, size, last = [], 0, None
         for batch in batches:
-            cols = [batch.column(k).to_pylist() for k in ("h", "bytes", "doc_id", "at", "c")]
-            for h, text, d, a, c in zip(*cols, strict=True):
+            cols = [batch.column(k).to_pylist() for k in ("h", "bytes", "id", "tag", "at", "c")]
+            for h, text, i, t, a, c in zip(*cols, strict=True):
                 if h != last and size >= BUFFER:
                     yield flush(held)
                     held, size = [], 0
                 last = h
-                held.append((text, d, a, c))
+                held.append((text, i, t, a, c))
                 size += len(text)
         if held:
             yield flush(held)
@@ -274,41 +290,45 @@ def _sort_suffixes(span: int):
 def _window_hashes(span: int):
     def run(batches):
         for batch in batches:
-            for text, d, a, c in zip(*[batch.column(k).to_pylist() for k in ("bytes", "doc_id", "at", "c")], strict=True):
+            for text, *key, a, c in zip(*[batch.column(k).to_pylist() for k in ("bytes", "id", "tag", "at", "c")], strict=True):
                 x = np.frombuffer(text, np.uint8)
                 s = np.arange(len(x) - span + 1)
                 g = [mix(Rolling(x, i).of(s, s + span)) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [_long(g[0]), _long(g[1]), pa.array(np.full(len(s), d)), pa.array(s + a), pa.array(np.full(len(s), c))], names=["g1", "g2", "doc_id", "at", "c"]
+                    [_long(g[0]), _long(g[1]), *(pa.array(np.full(len(s), v, np.int64)) for v in key), pa.array(s + a), pa.array(np.full(len(s), c))], names=["g1", "g2", "id", "tag", "at", "c"]
                 )
 
     return run
 
 
-def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, most: int = MOST, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, at, n): ``n`` windows from byte ``at`` on start more than once in ``docs(doc_id, text)``."""
-    texts = docs.select("doc_id", "text").where("text is not null")
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the row's key: ``id`` (0 for a null) and ``tag``, a hash of the text."""
+    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("tag"), "text")
+
+
+def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, most: int = MOST) -> DataFrame:
+    """(id, tag, at, n): ``n`` windows from byte ``at`` on start more than once in ``docs(doc_id, text)``."""
+    work = Scratch()
+    texts = keyed(docs).drop("doc_id").where(F.octet_length("text") >= span)
+    key = ["id", "tag"]
     # written first, so that the join has a shuffle of its own on both sides, whose large partitions Spark can split
-    again = cut(texts.mapInArrow(_anchors(span, gram), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "anchors")
-    p = texts.mapInArrow(_pieces(span, gram), "h long, f1 long, f2 long, doc_id long, at long, n long").join(again, "h", "left_semi")
-    p = cut(p, "pieces")
-    q = cut(p.groupBy("h", "f1", "f2").agg(F.count("*").alias("c"), F.first("doc_id").alias("doc_id"), F.first("at").alias("at"), F.first("n").alias("n")), "distinct")
-    twice = p.join(q.where("c > 1").select("h", "f1", "f2"), ["h", "f1", "f2"], "left_semi").select("doc_id", "at", "n")
+    again = work.cut(texts.select("text").mapInArrow(_anchors(span, gram), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "anchors")
+    p = texts.mapInArrow(_pieces(span, gram), "h long, f1 long, f2 long, id long, tag long, at long, n long").join(again, "h", "left_semi")
+    p = work.cut(p, "pieces")
+    q = work.cut(p.groupBy("h", "f1", "f2").agg(F.count("*").alias("c"), *[F.first(c).alias(c) for c in (*key, "at", "n")]), "distinct")
+    twice = p.join(q.where("c > 1").select("h", "f1", "f2"), ["h", "f1", "f2"], "left_semi").select(*key, "at", "n")
     mixed = q.groupBy("h").agg(F.count("*").alias("k"), F.min("c").alias("least")).where("k > 1 and least = 1").select("h", "k")
-    todo = cut(q.join(mixed, "h").select("h", "k", "c", "doc_id", "at", "n"), "borders")
-    few = todo.count() <= broadcast_rows
-    per = todo.groupBy("doc_id").agg(F.collect_list(F.struct("h", "k", "c", "at", "n")).alias("w")).withColumnRenamed("doc_id", "id")
-    per = F.broadcast(cut(per, "wanted")) if few else per
-    got = texts.join(per, F.col("doc_id") == F.col("id")).select("doc_id", F.col("text").cast("binary").alias("raw"), F.explode("w").alias("w"))
-    got = got.select("w.h", "w.k", "w.c", "doc_id", "w.at", F.expr(f"substring(raw, cast(w.at + 1 as int), cast(w.n + {span - 1} as int))").alias("bytes"))
-    got = cut(got, "texts")
-    sa = got.where(F.col("k") <= most).repartition("h").sortWithinPartitions("h").select("h", "bytes", "doc_id", "at", "c").mapInArrow(_sort_suffixes(span), "doc_id long, at long, n long")
-    wide = got.where(F.col("k") > most).select("bytes", "doc_id", "at", "c").mapInArrow(_window_hashes(span), "g1 long, g2 long, doc_id long, at long, c long")
+    todo = q.join(mixed, "h").select("h", "k", "c", *key, "at", "n")
+    per = todo.groupBy(*key).agg(F.collect_list(F.struct("h", "k", "c", "at", "n")).alias("w"))
+    got = texts.join(per, key).select(*key, F.col("text").cast("binary").alias("raw"), F.explode("w").alias("w"))
+    got = got.select("w.h", "w.k", "w.c", *key, "w.at", F.expr(f"substring(raw, cast(w.at + 1 as int), cast(w.n + {span - 1} as int))").alias("bytes"))
+    got = work.cut(got, "texts")
+    sa = got.where(F.col("k") <= most).repartition("h").sortWithinPartitions("h").select("h", "bytes", *key, "at", "c").mapInArrow(_sort_suffixes(span), "id long, tag long, at long, n long")
+    wide = got.where(F.col("k") > most).select("bytes", *key, "at", "c").mapInArrow(_window_hashes(span), "g1 long, g2 long, id long, tag long, at long, c long")
     common = wide.groupBy("g1", "g2").agg(F.count("*").alias("k")).where("k > 1").select("g1", "g2")
-    hot = wide.where("c = 1").join(common, ["g1", "g2"], "left_semi").select("doc_id", "at", F.lit(1).cast("long").alias("n"))
+    hot = wide.where("c = 1").join(common, ["g1", "g2"], "left_semi").select(*key, "at", F.lit(1).cast("long").alias("n"))
     out = cut(twice.union(sa).union(hot), "repeats")
-    for x in (again, p, q, got):
-        drop(x)
+    work.clear()
     return out
 
 
@@ -343,13 +363,11 @@ def _strip(span: int):
     return run
 
 
-def dedup(docs: DataFrame, span: int = SPAN, broadcast_rows: int = BROADCAST_ROWS, **options) -> DataFrame:
+def dedup(docs: DataFrame, span: int = SPAN, **options) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256): one row per document."""
-    hits = repeats(docs, span, broadcast_rows=broadcast_rows, **options)
-    per = hits.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("at", "n")).alias("w"))
-    if hits.count() <= broadcast_rows:
-        per = F.broadcast(cut(per, "spans"))
-    both = docs.select("doc_id", "text").join(per, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "w")
+    hits = repeats(docs, span, **options)
+    per = hits.groupBy("id", "tag").agg(F.collect_set(F.struct("at", "n")).alias("w"))
+    both = keyed(docs).join(per, ["id", "tag"], "left").select("doc_id", "text", "w")
     return both.mapInArrow(_strip(span), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
