@@ -143,4 +143,5 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
         e = nxt
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    # the one table of edges that is left is the result
     return e.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")

@@ -15,8 +15,10 @@ and pairs of blocks are separate groups.
 
 Edge cases: vectors that are null, zero or hold null or non-finite components,
 and null labels, link with nothing; vectors of different length are not
-compared; fewer dimensions than blocks use fewer blocks; repeated ids are one
-class if equal; an empty table gives an empty result; extra columns are ignored.
+compared; fewer dimensions than blocks use fewer blocks; repeated ids are rows
+of their own, one class only if their vectors and labels are equal; null ids
+are rows as well and never the smallest id; an empty table gives an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnspark.llm.shared import components, cut
+from cairnspark.llm.shared import Scratch, components, cut
 
 COSINE = 0.98
 LIST = 24
@@ -101,17 +103,16 @@ def _decode_batches(q: int, seed: int):
     return run
 
 
-def _compare(rep, weight, x, filters, here, side, cosine):
-    """Link counts and edges within one filter; ``side`` 0/1 compares only across when both occur."""
+def _compare(rep, weight, x, filters, here, side, own, cosine):
+    """Link counts and edges within one filter: of all pairs in a block's ``own`` group, else of those across the two sides."""
     n = len(rep)
     counts = np.zeros(n, np.int64)
     found = []
-    across = side.any() and not side.all()
     for lo in range(0, n, 512):
         c = x[lo : lo + 512] @ x.T
         i, j = np.nonzero(c >= cosine)
         i += lo
-        ok = (side[i] != side[j]) & (i < j) if across else i < j
+        ok = i < j if own else (side[i] != side[j]) & (i < j)
         found.append(np.column_stack([i[ok], j[ok]]))
     p = np.concatenate(found)
     if not len(p):
@@ -157,7 +158,7 @@ def _links(cosine: float):
         x = rows["x"][lo:hi]
         f = rows["filters"][lo:hi]
         rep = rows["rep"][lo:hi]
-        counts, edges = _compare(rep, rows["m"][lo:hi], np.stack(x), f, rows["filter"][lo], rows["side"][lo:hi], cosine)
+        counts, edges = _compare(rep, rows["m"][lo:hi], np.stack(x), f, rows["filter"][lo], rows["side"][lo:hi], rows["own"][lo], cosine)
         hit = np.flatnonzero(counts)
         return rep[hit], counts[hit], rep[edges[:, 0]], rep[edges[:, 1]]
 
@@ -181,7 +182,7 @@ def _links(cosine: float):
                 v = v / np.abs(v).max()
                 x.append(v / np.sqrt(np.dot(v, v)))
             ff, fo = filters.flatten().to_numpy(), filters.offsets.to_numpy() - filters.offsets[0].as_py()
-            rows = {k: batch.column(k).to_numpy() for k in ("key", "rep", "m", "filter", "side")}
+            rows = {k: batch.column(k).to_numpy() for k in ("key", "rep", "m", "filter", "side", "own")}
             rows |= {"x": x, "filters": [ff[a:b] for a, b in zip(fo[:-1], fo[1:], strict=True)]}
             if held:
                 rows = {k: np.concatenate([held[k], v]) if isinstance(v, np.ndarray) else held[k] + v for k, v in rows.items()}
@@ -199,32 +200,41 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, seed: int = 11,
     """(vec_id, n_links, component_id, kept) of ``vectors(vec_id, label, embedding)``."""
     e = F.col("embedding")
     fine = F.col("label").isNotNull() & e.isNotNull() & F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(e, lambda v: v != 0)
+    work = Scratch()
     v = vectors.select("vec_id", "label", "embedding", F.coalesce(fine, F.lit(False)).alias("ok"))
     v = v.withColumn("h1", F.xxhash64("label", "embedding")).withColumn("h2", F.xxhash64("embedding", F.lit(31), "label"))
-    classes = cut(v.where("ok").groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m")), "classes")
-    reps = v.where("ok").join(classes.select("rep", "m", F.col("label").alias("l2")), (F.col("vec_id") == F.col("rep")) & (F.col("label") == F.col("l2")))
-    reps = cut(reps.dropDuplicates(["rep", "h1", "h2"]).select("rep", "m", "label", F.col("embedding").alias("vec")), "reps")
+    classes = v.where("ok").groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("first"), F.count("*").alias("m"), F.first("embedding").alias("vec"))
+    # classes have numbers of their own, since ids may repeat; written, so that a number stays with its class
+    classes = work.cut(classes, "classes").withColumn("rep", F.monotonically_increasing_id())
+    classes = work.cut(classes, "numbered")
+    reps = classes.select("rep", "m", "label", "vec")
     n = reps.count()
     q = max(8, int(np.ceil((32 * max(1, n)) ** 0.25)))
-    lists = cut(reps.select("rep", "vec").mapInArrow(_decode_batches(q, seed), "rep long, filters array<bigint>"), "filters")
+    lists = work.cut(reps.select("rep", "vec").mapInArrow(_decode_batches(q, seed), "rep long, filters array<bigint>"), "filters")
     full = reps.join(lists, "rep")
     cells = full.select("rep", "label", F.size("vec").alias("dim"), F.explode("filters").alias("filter"))
     sizes = cells.groupBy("label", "dim", "filter").agg(F.count("*").alias("c")).where("c > 1")
-    shared = cut(cells.join(sizes, ["label", "dim", "filter"]).select("rep", "label", "dim", "filter", F.ceil(F.col("c") / block).alias("blocks")), "shared")
+    shared = work.cut(cells.join(sizes, ["label", "dim", "filter"]).select("rep", "label", "dim", "filter", F.ceil(F.col("c") / block).alias("blocks")), "shared")
     mine = F.pmod(F.xxhash64("rep", "filter"), F.col("blocks"))
     # a block meets itself and each later block: (i, j) with i <= j, one group each
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     dealt = shared.select("*", mine.alias("mine")).select("rep", "label", "dim", "filter", "mine", other)
-    dealt = dealt.select("rep", "filter", F.xxhash64("label", "dim", "filter", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), (F.col("mine") > F.col("other")).cast("long").alias("side"))
-    ready = dealt.join(full.select("rep", "m", "vec", "filters"), "rep").select("key", "rep", "m", "filter", "side", "vec", "filters")
-    found = cut(ready.repartition("key").sortWithinPartitions("key").mapInArrow(_links(cosine), "rep long, other long, n long"), "links")
+    key = F.xxhash64("label", "dim", "filter", F.least("mine", "other"), F.greatest("mine", "other"))
+    dealt = dealt.select("rep", "filter", key.alias("key"), (F.col("mine") > F.col("other")).cast("long").alias("side"), (F.col("mine") == F.col("other")).alias("own"))
+    ready = dealt.join(full.select("rep", "m", "vec", "filters"), "rep").select("key", "rep", "m", "filter", "side", F.col("own").cast("long").alias("own"), "vec", "filters")
+    found = work.cut(ready.repartition("key").sortWithinPartitions("key").mapInArrow(_links(cosine), "rep long, other long, n long"), "links")
     counts = found.where("other is null").groupBy("rep").agg(F.sum("n").alias("n"))
-    comp = components(found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))
+    comp = work.cut(components(found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))), "comp")
     named = classes.join(counts, "rep", "left").join(comp, F.col("rep") == F.col("node"), "left")
-    named = named.select("label", "h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("links"), F.coalesce("root", "rep").alias("component"))
+    named = work.cut(named.select("label", "h1", "h2", "first", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("links"), F.coalesce("root", "rep").alias("root")), "named")
+    smallest = named.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("component"))
+    named = named.join(smallest, F.col("root") == F.col("r")).drop("root", "r", "first")
     out = v.select("vec_id", "ok", "label", "h1", "h2").join(named, ["label", "h1", "h2"], "left")
     component = F.when(F.col("ok"), F.col("component")).otherwise(F.col("vec_id"))
-    return out.select("vec_id", F.when(F.col("ok"), F.col("links")).otherwise(0).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    out = out.select("vec_id", F.when(F.col("ok"), F.col("links")).otherwise(0).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    out = cut(out, "vectors")
+    work.clear()
+    return out
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

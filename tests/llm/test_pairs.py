@@ -160,3 +160,14 @@ def test_embeddings_equal_brute_force(spark):
         assert {i: r.component_id for i, r in got.items()} == want
         assert {i: r.n_links for i, r in got.items()} == {i: n[i] for i in want}
     assert vectors.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_embeddings_with_repeated_and_null_ids(spark):
+    rng = np.random.default_rng(6)
+    a, b, c = (rng.standard_normal(16) for _ in range(3))
+    near = lambda v: (v + rng.standard_normal(16) * 0.01).astype(np.float32).tolist()
+    rows = [(1, 1, near(a)), (1, 1, near(b)), (2, 1, near(a)), (3, 1, near(b)), (4, 2, near(a)), (5, 1, near(c)), (None, 1, near(c)), (None, None, near(c)), (6, 1, None)]
+    rows += [(7, 1, rows[0][2]), (1, 1, rows[0][2])]  # a copy of the first, and that row again
+    got = [tuple(r) for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")).collect()]
+    want = [(1, 3, 1, True), (1, 1, 1, True), (2, 3, 1, False), (3, 1, 1, False), (4, 0, 4, True), (5, 1, 5, True), (None, 1, 5, False), (None, 0, None, True), (6, 0, 6, True), (7, 3, 1, False), (1, 3, 1, True)]
+    assert sorted(got, key=str) == sorted(want, key=str)
