@@ -5,15 +5,23 @@ inclusion is target / source size, its whole part taken as sure repeats and
 its fraction rounded by the cube method: a flight through the null space of
 the balancing constraints (words and documents of the source) fixes one unit
 at a time while both totals hold, block by block, then over what the blocks
-left, until a landing problem of at most 14 units per source remains (two that
-the flight leaves and twelve of halving sizes, held back so that rounding them
-together comes near the source's words).
+left, until a landing problem of two units per source remains.  First each of
+a block's largest units is carried to a bound, the others sharing what
+balances it (of a source of many blocks, before they are dealt, against all
+its documents); then units come in by falling size, three at a time.  So what is
+left to land is small documents, and the source's words stay near the target.
+Every step is as likely up as down by its lengths, so each document keeps its
+inclusion probability; landing keeps it too (the words hold while two units
+are left, then the last one is tossed for).  One case is set aside before: a
+document of more words than its source's fractions stand for in all can't be
+taken near the target, so the others take over its fraction if they can.
 
 Edge cases: a null or empty text has size 0 and is never sampled by words
 (its fraction is still balanced by count); a null source is a source of its
-own, last in order; a source of size 0 has target 0 and takes nothing; equal
-rows are told apart by ``doc_id`` and, for repeated ids, by their size; an
-empty table gives an empty result.  Other columns pass through untouched.
+own, last in order; a source of size 0 has target 0 and takes nothing;
+repeated ids are rows of their own, told apart by text, and equal rows are
+interchangeable; an empty table gives an empty result; extra columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,11 +31,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cairnspark.llm.shared import Scratch, cut
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
 BLOCK_ROWS = 4096
-LANDING_UNITS = 12
+LARGE_UNITS = 48
 
 
 def n_words(text: Column) -> Column:
@@ -63,13 +73,65 @@ def targets(totals: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: floa
     )
 
 
+def _span(pi: np.ndarray, u: np.ndarray) -> tuple[float, float]:
+    """How far ``pi`` can go along ``u`` and against it before a unit is at 0 or 1."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        up = np.where(u > 1e-15, (1 - pi) / u, np.where(u < -1e-15, -pi / u, np.inf))
+        down = np.where(u > 1e-15, pi / u, np.where(u < -1e-15, -(1 - pi) / u, np.inf))
+    return float(up.min()), float(down.min())
+
+
+def carry(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator, units: np.ndarray | None = None, both: bool = True) -> np.ndarray:
+    """First part of the flight: each of ``units``, the largest ones unless given, is carried to 0 or 1 in turn.
+
+    All other units in play share what balances it, each by its room to the
+    nearer bound, so that they come to their bounds late and together.  Both
+    totals hold as long as that moves the unit on; where the number of
+    documents stands in the way (a document of very many words takes the place
+    of many), only the words do.  A step goes to the bound on one side or the
+    other, with the probabilities that keep the expectation.
+    """
+    eps = 1e-9
+    pi = pi.astype(float).copy()
+    live = (pi > eps) & (pi < 1 - eps)
+    if units is None:
+        units = np.flatnonzero(live)[np.argsort(-x[live], kind="stable")][:LARGE_UNITS]
+    for j in units:
+        steps = 0 if both else 4
+        while live[j]:
+            at = np.flatnonzero(live)
+            if len(at) < 2 + both:
+                return pi
+            p, me = pi[at], at == j
+            room = np.where(me, 0.0, np.minimum(p, 1 - p))
+            columns = [x[at] / max(1.0, x[at].max()), np.ones(len(at))][: 2 if steps < 4 else 1]
+            a = np.column_stack(columns)
+            goal = a[me][0]
+            try:
+                u = -room * (a @ np.linalg.solve(a.T @ (a * room[:, None]), goal)) if len(columns) == 2 else -room * goal[0] / (room @ a[:, 0])
+            except np.linalg.LinAlgError:
+                u = np.full(len(at), np.nan)
+            u[me] = 1.0
+            if not np.isfinite(u).all() or np.abs(a.T @ u).max() > 1e-7:
+                if len(columns) == 1:
+                    break
+                steps = 4
+                continue
+            up, down = _span(p, u)
+            pi[at] += u * (up if rng.random() * (up + down) < down else -down)
+            pi[pi < eps], pi[pi > 1 - eps] = 0.0, 1.0
+            live = (pi > 0) & (pi < 1)
+            steps += 1
+    return pi
+
+
 def flight(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Flight phase for two constraints: units are visited in order, three at a time stay in play.
+    """Flight for two constraints: units are visited in order, three at a time stay in play.
 
     Each step moves the three along the null vector of their constraint
-    matrix to the nearer or farther bound, with the probabilities that keep
-    the expectation; at least one becomes 0 or 1 and the next unit comes in.
-    Returns pi with at most two entries strictly between 0 and 1.
+    matrix to the bound on one side or the other, with the probabilities that
+    keep the expectation; at least one becomes 0 or 1 and the next unit comes
+    in.  Returns pi with at most two entries strictly between 0 and 1.
     """
     eps = 1e-9
     pi = pi.astype(float).tolist()
@@ -110,13 +172,18 @@ def flight(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarra
     return np.array(pi)
 
 
-def landing(pi: np.ndarray, x: np.ndarray, free: np.ndarray) -> np.ndarray:
-    """Round the few units in ``free`` together: of all their 0/1 choices, the one nearest to the words they stand for, then to their number."""
-    codes = (np.arange(1 << len(free))[:, None] >> np.arange(len(free))) & 1
-    words = np.abs(codes @ x[free] - float((pi[free] * x[free]).sum()))
-    count = np.abs(codes.sum(axis=1) - float(pi[free].sum()))
+def landing(pi: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Round what the flight left, two units at most: their words hold until one is settled, then the other is tossed for."""
     out = pi.copy()
-    out[free] = codes[np.lexsort((count, words))[0]]
+    free = np.flatnonzero((out > 0) & (out < 1))
+    if len(free) == 2:
+        i, j = free
+        u = np.array([x[j], -x[i]]) / max(x[i], x[j]) if x[i] or x[j] else np.array([1.0, -1.0])
+        up, down = _span(out[free], u)
+        out[free] += u * (up if rng.random() * (up + down) < down else -down)
+        out[free] = np.where(out[free] < 1e-9, 0.0, np.where(out[free] > 1 - 1e-9, 1.0, out[free]))
+    for i in np.flatnonzero((out > 0) & (out < 1)):
+        out[i] = float(rng.random() < out[i])
     return out
 
 
@@ -125,22 +192,22 @@ def _fly(last: bool):
         pdf = pdf.sort_values(["size", "doc_id", "row"], ascending=False, kind="stable", na_position="last").reset_index(drop=True)
         rng = np.random.default_rng([int(pdf["seed"].iloc[0]) & 0x7FFFFFFF, len(pdf)])
         x, pi = pdf["size"].to_numpy(dtype=float), pdf["pi"].to_numpy(dtype=float)
-        units = np.flatnonzero((pi > 0) & (pi < 1))
-        held = np.zeros(len(pi), dtype=bool)
-        free = units
-        for j in range(min(LANDING_UNITS, len(units))):  # sizes halve from the largest on, so that sums of some of them come near any gap
-            pick = free[np.argmin(np.abs(x[free] - x[units[0]] / 2**j))]
-            held[pick] = True
-            free = free[free != pick]
-        out = pi.copy()
-        out[~held] = flight(pi[~held], x[~held], rng)
-        if last:
-            out = landing(out, x, np.flatnonzero((out > 0) & (out < 1)))
-        return pdf.assign(pi=out)
+        out = flight(carry(pi, x, rng), x, rng)
+        return pdf.assign(pi=landing(out, x, rng) if last else out)
 
     return run
 
 
+def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The largest documents of a source to 0 or 1, one by one; those left and all others, whose fraction is one number, share what balances the words."""
+    pdf = pdf.sort_values("rank")
+    rng = np.random.default_rng(int(pdf["seed"].iloc[0]) & 0x7FFFFFFF)
+    x, pi = pdf["size"].to_numpy(dtype=float), pdf["pi"].to_numpy(dtype=float)
+    others = max(0.0, float(pdf["words"].iloc[0]) - x.sum())
+    out = carry(np.append(pi, pi[0]), np.append(x, others), rng, np.arange(len(x)), both=False)
+    return pdf.assign(settled=out[:-1], rest=out[-1])[["uid", "source", "settled", "rest"]]
+
+
 def mix_sources(
     spark: SparkSession,
     docs: DataFrame,
@@ -150,36 +217,49 @@ def mix_sources(
     block_rows: int = BLOCK_ROWS,
     seed: int = 17,
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (0 .. cap) added, one row per document.
+    """(doc_id, source, row, size, source_size, target, copies): one row per document, ``copies`` in 0 .. cap, ``row`` a hash of id and text.
 
     A source's documents are dealt to blocks of about ``block_rows`` by a hash
     of the id, so a source with a third of all rows is many tasks; what the
-    blocks leave open (14 units each) meets in blocks again until each source
+    blocks leave open (two units each) meets in blocks again until each source
     has one.  Only ids and sizes are shuffled; texts stay with their row if
     the caller joins back on ``doc_id``.
     """
+    work = Scratch()
     d = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("row"))
+    d = work.cut(d.withColumn("uid", F.monotonically_increasing_id()), "sizes")  # words are counted once, and a row keeps its number
     totals = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     goal = targets(totals.select("source", "source_size"), weights, share, cap)
     stats = goal.join(totals.select(F.col("source").alias("s2"), "n"), F.col("source").eqNullSafe(F.col("s2"))).select(
         F.col("source").alias("s"), "source_size", "target", F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).alias("blocks")
     )
+    stats = stats.withColumn("want", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
+    stats = stats.withColumn("sure", F.floor(F.col("want") + F.lit(1e-9))).withColumn("pi", F.greatest(F.lit(0.0), F.col("want") - F.col("sure")))
+    part = F.col("pi") * F.col("source_size")  # words that the fractions stand for
+    known = d.join(stats, F.col("source").eqNullSafe(F.col("s"))).withColumn("over", F.col("size") > part)
+    over = known.groupBy("source").agg(F.sum(F.when(F.col("over"), F.col("size")).otherwise(0)).alias("big")).select(F.col("source").alias("s3"), "big")
+    others = part / (F.col("source_size") - F.col("big"))
+    pi = F.when((F.col("big") > 0) & (F.col("big") < F.col("source_size")) & (others <= 1), F.when(F.col("over"), 0.0).otherwise(others)).otherwise(F.col("pi"))
     key = F.xxhash64(F.lit(seed), "doc_id", "size", "row")
+    known = known.join(over, F.col("source").eqNullSafe(F.col("s3"))).withColumn("pi", pi)
+    open_ = (F.col("pi") > 0) & (F.col("pi") < 1)
+    # the largest documents of a source of many blocks are settled against all others of the source
+    rank = Window.partitionBy("source").orderBy(F.col("size").desc(), "doc_id", "row", "uid")
+    top = known.where(open_ & (F.col("blocks") > 1) & (F.col("size") * 100 * F.col("blocks") > F.col("source_size"))).withColumn("rank", F.row_number().over(rank))
+    top = top.where(F.col("rank") <= LARGE_UNITS).select("uid", "source", "size", "rank", "pi", (F.col("source_size") - F.when(F.col("pi") == F.col("want") - F.col("sure"), 0).otherwise(F.col("big"))).alias("words"), F.xxhash64(F.lit(seed + 1), "source").alias("seed"))
+    settled = work.cut(top.groupBy("source").applyInPandas(_settle, "uid long, source string, settled double, rest double"), "settled")
+    rest = settled.groupBy(F.col("source").alias("s4")).agg(F.first("rest").alias("rest"))
+    known = known.join(settled.select(F.col("uid").alias("u2"), "settled"), F.col("uid") == F.col("u2"), "left").join(rest, F.col("source").eqNullSafe(F.col("s4")), "left")
     full = (
-        d.join(stats, F.col("source").eqNullSafe(F.col("s")))
-        .withColumn("want", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
-        .withColumn("sure", F.floor(F.col("want") + F.lit(1e-9)))
-        .withColumn("pi", F.greatest(F.lit(0.0), F.col("want") - F.col("sure")))
+        known.withColumn("pi", F.when(open_, F.coalesce("settled", "rest", "pi")).otherwise(F.col("pi")))
         .withColumn("block", F.pmod(key, F.col("blocks")))
-        .withColumn("seed", F.xxhash64("source", "block"))
+        .withColumn("seed", F.xxhash64(F.lit(seed), "source", "block"))
         .select("doc_id", "source", "size", "row", "source_size", "target", "sure", "pi", "blocks", "block", "seed")
     )
     schema = full.schema
     out, is_open = None, (F.col("pi") > 0) & (F.col("pi") < 1)
     done = full.groupBy("source", "block", "blocks").applyInPandas(_fly(False), schema)
-    from cairnspark.llm.shared import cut
-
-    level = cut(done, "mix")
+    level = work.cut(done, "mix")
     while True:
         out = level.where(~is_open) if out is None else out.unionByName(level.where(~is_open))
         left = level.where(is_open)
@@ -188,9 +268,12 @@ def mix_sources(
             break
         last = top <= block_rows
         left = left.withColumn("blocks", F.when(F.lit(last), F.lit(1)).otherwise(F.ceil(F.col("blocks") / block_rows)))
-        left = left.withColumn("block", F.pmod(F.col("block"), F.col("blocks"))).withColumn("seed", F.xxhash64("source", "block", "blocks"))
-        level = cut(left.select(*schema.names).groupBy("source", "block").applyInPandas(_fly(last), schema), "mix")
-    return out.select("doc_id", "source", "row", "size", "source_size", "target", (F.col("sure") + F.col("pi")).cast("long").alias("copies"))
+        left = left.withColumn("block", F.pmod(F.col("block"), F.col("blocks"))).withColumn("seed", F.xxhash64(F.lit(seed), "source", "block", "blocks"))
+        level = work.cut(left.select(*schema.names).groupBy("source", "block").applyInPandas(_fly(last), schema), "mix")
+    out = out.select("doc_id", "source", "row", "size", "source_size", "target", (F.col("sure") + F.col("pi")).cast("long").alias("copies"))
+    out = cut(out, "mixed")
+    work.clear()
+    return out
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

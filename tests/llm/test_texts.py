@@ -253,11 +253,37 @@ def test_flight_keeps_totals_and_expectations():
     rng = np.random.default_rng(3)
     x = rng.integers(1, 50, 40).astype(float)
     pi = rng.uniform(0.1, 0.9, 40)
-    runs = [mixing.flight(pi, x, np.random.default_rng(i)) for i in range(1500)]
-    for r in runs[:50]:
-        assert ((r > 0) & (r < 1)).sum() <= 2
-        assert r @ x == pytest.approx(pi @ x) and r.sum() == pytest.approx(pi.sum())
-    assert np.abs(np.mean(runs, axis=0) - pi).max() < 0.07
+    for fly in (mixing.flight, lambda p, x, r: mixing.flight(mixing.carry(p, x, r, np.arange(10)), x, r)):
+        runs = [fly(pi, x, np.random.default_rng(i)) for i in range(1500)]
+        for r in runs[:50]:
+            assert ((r > 0) & (r < 1)).sum() <= 2
+            assert r @ x == pytest.approx(pi @ x) and r.sum() == pytest.approx(pi.sum())
+        assert np.abs(np.mean(runs, axis=0) - pi).max() < 0.07
+
+
+def test_every_document_keeps_its_probability():
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    size = np.sort(np.concatenate([rng.integers(20, 400, 395), [0, 0, 3000, 6000, 20000]]))[::-1]
+    runs, seeds = [], 400
+    for seed in range(seeds):
+        pdf = pd.DataFrame({"doc_id": np.arange(400), "size": size, "row": np.arange(400), "pi": 0.377, "seed": seed})
+        out = mixing._fly(True)(pdf)
+        assert set(out["pi"]) <= {0.0, 1.0}
+        assert abs(out["pi"] @ out["size"] - 0.377 * size.sum()) < 0.02 * size.sum()
+        runs.append(out.sort_values("doc_id")["pi"].to_numpy())
+    mean = np.mean(runs, axis=0)
+    error = np.sqrt(0.377 * 0.623 / seeds)
+    assert np.abs(mean - 0.377).max() < 4.5 * error  # 400 documents, 400 seeds
+    assert 0.8 < np.std(mean) / error < 1.2
+
+
+def test_mixing_repeated_ids(spark):
+    rows = [(1, "a", "one two"), (1, "a", "three"), (1, "b", "four five six"), (2, "b", None), (2, "b", "x " * 50)] * 3
+    out = mixing.mix_sources(spark, spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    assert len(out) == len(rows)
+    assert sorted((r.doc_id, r.source, r.size) for r in out) == sorted((i, s, len((t or "").split())) for i, s, t in rows)
 
 
 def test_warc_round_trip_with_magic_in_payloads(spark):
