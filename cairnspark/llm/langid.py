@@ -1,23 +1,32 @@
 """Language identification of whole texts, with spans of mixed-language text.
 
-A word's script (code point ranges) narrows the candidate languages; its
+A word's script narrows the candidate languages to those learned with it; its
 score per language is the sum of log-probabilities of its byte trigrams; a
-Viterbi pass with a switching penalty labels each word, and a document's
-language is the one of most of its words.
+Viterbi pass with a switching penalty labels each word, among all languages
+that a word of its block may have, and a document's language is the one of
+most of its words.  Scripts are those of Unicode: a letter's or mark's script
+is the first word of its character name.
 
 Training counts trigrams of about ``train_docs`` documents of each language,
 chosen by a hash of the id (the documented bound of the sample); counts are
 aggregated on the executors and the model has a fixed size per language.
 
 Edge cases: a null text, or one without letters, is ``und`` with score 0 and
-no spans; words without letters follow their neighbours; ties go to the first
-language in code point order; with nothing to learn from, all is ``und``; very
-long texts cost linear time (the Viterbi pass runs over pieces of 32 words at
-once); extra columns pass through; an empty table gives an empty result.
+no spans; words without letters follow their neighbours; words of a script
+that no learned language has give no language their vote but count among the
+words, so a text of such words alone gets the first language with score 0;
+ties go to the first language in code point order; with nothing to learn from,
+all is ``und``; very long texts cost linear time and are read in parts, cut
+between words, each labelled by itself with its votes added up; repeated rows
+and ids are rows of their own; ``identify`` returns the columns that it names
+and ignores others, ``keep_identified`` passes all columns through, whatever
+their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
 from types import SimpleNamespace
 
 import numpy as np
@@ -30,34 +39,34 @@ from cairnspark.llm.textnum import Words, rows
 BUCKETS = 1 << 16
 TRAIN_DOCS = 2000
 SWITCH = 12.0
-MAX_CANDIDATES = 8
 PIECE = 32
 MIN_SCORE = 0.3
+PART = 1 << 20
 
-# First and last code points of scripts (Unicode blocks), in order.
-SCRIPTS = [
-    ("latin", 0x0041, 0x024F),
-    ("greek", 0x0370, 0x03FF),
-    ("cyrillic", 0x0400, 0x052F),
-    ("armenian", 0x0530, 0x058F),
-    ("hebrew", 0x0590, 0x05FF),
-    ("arabic", 0x0600, 0x077F),
-    ("devanagari", 0x0900, 0x097F),
-    ("bengali", 0x0980, 0x09FF),
-    ("tamil", 0x0B80, 0x0BFF),
-    ("thai", 0x0E00, 0x0E7F),
-    ("georgian", 0x10A0, 0x10FF),
-    ("hangul", 0x1100, 0x11FF),
-    ("latin", 0x1E00, 0x1EFF),
-    ("greek", 0x1F00, 0x1FFF),
-    ("kana", 0x3040, 0x30FF),
-    ("han", 0x3400, 0x9FFF),
-    ("hangul", 0xAC00, 0xD7AF),
-]
-SCRIPT_NAMES = ["none", *dict.fromkeys(s for s, _, _ in SCRIPTS)]
-_LO = np.array([a for _, a, _ in SCRIPTS])
-_HI = np.array([b for _, _, b in SCRIPTS])
-_ID = np.array([SCRIPT_NAMES.index(s) for s, _, _ in SCRIPTS], dtype=np.int8)
+
+@lru_cache(maxsize=1)
+def script_table() -> tuple[list[str], np.ndarray]:
+    """Script names, and the number of the script of each code point: 0 for what is neither letter nor mark, or has no script of its own.
+
+    Latin is 1; names that Unicode gives to letters of another script's forms
+    (full width, modifiers, mathematical letters) are scripts here as well.
+    """
+    names = ["none", "LATIN"]
+    number = {"LATIN": 1}
+    of = np.zeros(0x110000, np.int16)
+    for start, end in ((0x41, 0xAC00), (0xD7B0, 0xD800), (0xF900, 0x20000), (0x2F800, 0x2FA20)):
+        for cp in range(start, end):
+            c = chr(cp)
+            if unicodedata.category(c)[0] in "LM":
+                script = unicodedata.name(c, "").split(" ")[0]
+                if script not in ("", "COMBINING", "VARIATION", "MODIFIER"):
+                    if script not in number:
+                        number[script] = len(names)
+                        names.append(script)
+                    of[cp] = number[script]
+    of[0xAC00:0xD7B0] = number["HANGUL"]
+    of[0x20000:0x2F800] = of[0x30000:0x33480] = number["CJK"]
+    return names, of
 
 
 def fold(data: np.ndarray) -> np.ndarray:
@@ -72,18 +81,18 @@ def fold(data: np.ndarray) -> np.ndarray:
 
 
 def scripts(data: np.ndarray) -> np.ndarray:
-    """Script id at the first byte of each letter, 0 elsewhere."""
-    out = np.zeros(len(data), dtype=np.int8)
+    """Script number at the first byte of each letter, 0 elsewhere."""
+    table = script_table()[1]
+    out = np.zeros(len(data), dtype=np.int16)
     out[((data | 32) >= 0x61) & ((data | 32) <= 0x7A)] = 1
-    for at, n in ((np.flatnonzero((data >= 0xC3) & (data < 0xE0)), 2), (np.flatnonzero((data >= 0xE0) & (data < 0xF0)), 3)):
+    for lo, hi, n in ((0xC2, 0xE0, 2), (0xE0, 0xF0, 3), (0xF0, 0xF5, 4)):
+        at = np.flatnonzero((data >= lo) & (data < hi))
         at = at[at + n <= len(data)]
         if len(at):
-            cp = (data[at] & (0x1F if n == 2 else 0x0F)).astype(np.int64)
+            cp = (data[at] & (0x7F >> n)).astype(np.int64)
             for j in range(1, n):
                 cp = (cp << 6) | (data[at + j] & 0x3F)
-            k = np.searchsorted(_LO, cp, side="right") - 1
-            ok = (k >= 0) & (cp <= _HI[k]) & ((cp < 0x80) | (cp > 0xBF)) & (cp != 0xD7) & (cp != 0xF7)
-            out[at[ok]] = _ID[k[ok]]
+            out[at] = table[np.minimum(cp, 0x10FFFF)]
     return out
 
 
@@ -116,7 +125,7 @@ def _count(langs: list[str]):
 
     def run(batches):
         grams = np.zeros((len(langs), BUCKETS), np.int64)
-        seen = np.zeros((len(langs), len(SCRIPT_NAMES)), np.int64)
+        seen = np.zeros((len(langs), len(script_table()[0])), np.int64)
         for batch in batches:
             lang = np.array([index[x] for x in batch.column("lang").to_pylist()], dtype=np.int64)
             for lo, hi, data, offs in rows(batch, "text"):
@@ -146,8 +155,9 @@ def model_of(langs: list[str], grams: np.ndarray, seen: np.ndarray) -> SimpleNam
     p = (grams + 0.5) / (grams.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)
     share = seen[:, 1:].T / np.maximum(1, seen[:, 1:].sum(axis=1))
     may = np.vstack([np.ones((1, len(langs)), bool), share >= 0.01])
-    may[~may.any(axis=1)] = True
-    return SimpleNamespace(langs=langs, logp=np.ascontiguousarray(np.log(p).T.astype(np.float32)), may=may)
+    known = may.any(axis=1)
+    may[~known] = True
+    return SimpleNamespace(langs=langs, logp=np.ascontiguousarray(np.log(p).T.astype(np.float32)), may=may, known=known)
 
 
 def train(docs: DataFrame, learn, train_docs: int = TRAIN_DOCS) -> SimpleNamespace:
@@ -156,13 +166,13 @@ def train(docs: DataFrame, learn, train_docs: int = TRAIN_DOCS) -> SimpleNamespa
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(counts, key=lambda x: x.encode())
     if not langs:
-        return model_of([], np.zeros((0, BUCKETS)), np.zeros((0, len(SCRIPT_NAMES))))
+        return model_of([], np.zeros((0, BUCKETS)), np.zeros((0, len(script_table()[0]))))
     share = F.lit(0)
     for x in langs:
         share = F.when(F.col("lang") == x, F.lit(min(1_000_000, -(-train_docs * 1_000_000 // counts[x])))).otherwise(share)
     sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share).select("lang", "text")
     cells = sample.mapInArrow(_count(langs), "lang long, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros((len(langs), BUCKETS + len(SCRIPT_NAMES)), np.int64)
+    table = np.zeros((len(langs), BUCKETS + len(script_table()[0])), np.int64)
     table[cells["lang"].to_numpy(), cells["cell"].to_numpy()] = cells["n"].to_numpy()
     return model_of(langs, table[:, :BUCKETS], table[:, BUCKETS:])
 
@@ -200,12 +210,12 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
         v0[p] = cur[d]
         nxt = (cur[d][:, :, None] + m[p]).max(axis=1)
         cur[d] = nxt - nxt.max(axis=1, keepdims=True)
-    v, back = v0, np.empty((PIECE, total, k), np.int8)
-    stay = np.arange(k, dtype=np.int8)
+    v, back = v0, np.empty((PIECE, total, k), np.int16)
+    stay = np.arange(k, dtype=np.int16)
     for t in range(PIECE):
         top = v.argmax(axis=1)
         best = v[np.arange(total), top][:, None] - penalty
-        back[t] = np.where(v >= best, stay, top[:, None].astype(np.int8))
+        back[t] = np.where(v >= best, stay, top[:, None].astype(np.int16))
         v = np.maximum(v, best) + g[:, t]
     start = np.broadcast_to(stay, (total, k)).copy()
     for t in range(PIECE):
@@ -227,25 +237,39 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
 
 
 def label(data: np.ndarray, offs: np.ndarray, model: SimpleNamespace, penalty: float = SWITCH):
-    """Words, the language index of each word, and which words have letters."""
+    """Words, the language index of each word, which words have letters, and which have letters of a learned script."""
     w = Words(data, offs)
+    if not len(w):
+        return w, np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, bool)
     kind = per_word(scripts(data), w, np.maximum)
     lettered = kind > 0
+    can = np.flatnonzero(model.may[np.unique(kind[lettered])].any(axis=0)) if lettered.any() else np.arange(1)  # languages that a word of the block may have
     grams = trigrams(w)
-    logp = model.logp[grams]
+    logp = model.logp[:, can][grams] if len(can) < len(model.langs) else model.logp[grams]
     logp[~w.word] = 0
     s = per_word(logp, w)
-    s = np.where(model.may[kind], s, s.min(axis=1, keepdims=True, initial=0) - 30)
-    s[~lettered] = 0
-    some = np.flatnonzero(np.diff(w.first))
-    sums = np.zeros((len(offs) - 1, len(model.langs)), np.float32)
-    if len(some):
-        sums[some] = np.add.reduceat(s, w.first[some], axis=0)
-    k = min(MAX_CANDIDATES, len(model.langs))
-    cand = np.sort(np.argsort(-sums, axis=1, kind="stable")[:, :k], axis=1)
-    picked = np.take_along_axis(s, cand[w.doc], axis=1)
-    lab = np.take_along_axis(cand[w.doc], viterbi(picked, w.first, penalty)[:, None], axis=1)[:, 0] if len(w) else np.zeros(0, np.int64)
-    return w, lab, lettered
+    s = np.where(model.may[kind][:, can], s, s.min(axis=1, keepdims=True, initial=0) - 30)
+    s[~lettered | ~model.known[kind]] = 0
+    return w, can[viterbi(s, w.first, penalty)], lettered, lettered & model.known[kind]
+
+
+def parts(data: np.ndarray, offs: np.ndarray, size: int):
+    """Blocks (first row, bytes, offsets) of a block's rows; a row of over ``size`` bytes in parts, each ending behind a word where there is one."""
+    if len(offs) > 2 or len(data) <= size:
+        yield data, offs
+        return
+    at = 0
+    while at < len(data):
+        end = min(len(data), at + size)
+        if end < len(data):
+            gap = np.flatnonzero(np.isin(data[at:end], np.frombuffer(b"\x20\t\n\x0b\x0c\r", np.uint8)))
+            if len(gap):
+                end = at + int(gap[-1]) + 1
+            else:  # no word ends here: not inside a character
+                while end > at + 1 and data[end] & 0xC0 == 0x80:
+                    end -= 1
+        yield data[at:end], np.array([0, end - at])
+        at = end
 
 
 def _predict(model, penalty: float):
@@ -253,38 +277,38 @@ def _predict(model, penalty: float):
 
     def run(batches):
         got = model.value
+        k = len(got.langs)
         names = np.array([*got.langs, "und"], dtype=object)
+        size = max(1 << 14, (1 << 22) // max(4, k))
         for batch in batches:
-            for lo, hi, data, offs in rows(batch, "text", max(1 << 16, (1 << 22) // max(4, len(got.langs)))):
+            for lo, hi, data, offs in rows(batch, "text", size):
                 n = hi - lo
-                if not got.langs:
+                ids = batch.column("doc_id").slice(lo, n)
+                if not k:
                     empty = pa.array([[]] * n, schema.field(3).type), pa.array([[]] * n, schema.field(4).type)
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, n), pa.array(["und"] * n), pa.array([0.0] * n), *empty], schema=schema)
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(["und"] * n), pa.array([0.0] * n), *empty], schema=schema)
                     continue
-                w, lab, lettered = label(data, offs, got, penalty)
-                votes = np.bincount(w.doc[lettered] * len(got.langs) + lab[lettered], minlength=n * len(got.langs)).reshape(n, -1)
-                total = votes.sum(axis=1)
-                # letters outside the listed scripts still make a text more than `und`
-                odd = [i for i in np.flatnonzero((total == 0) & (np.diff(offs) > 0)) if any(c.isalpha() for c in bytes(data[offs[i] : offs[i + 1]]).decode("utf-8", "ignore"))]
-                lang = np.where(total > 0, votes.argmax(axis=1), len(got.langs))
-                score = np.where(total > 0, votes.max(axis=1) / np.maximum(1, total), 0.0)
-                for i in odd:
-                    lang[i], score[i] = 0, 1.0 / len(got.langs)
-                change = np.ones(len(w), bool)
-                change[1:] = (lab[1:] != lab[:-1]) | (w.doc[1:] != w.doc[:-1])
-                change &= (lang < len(got.langs))[w.doc]
-                at = np.flatnonzero(change)
-                cut = pa.array(np.searchsorted(w.doc[at], np.arange(n + 1)), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(lo, n),
-                        pa.array(names[lang], pa.string()),
-                        pa.array(score, pa.float64()),
-                        pa.ListArray.from_arrays(cut, pa.array(names[lab[at]], pa.string())),
-                        pa.ListArray.from_arrays(cut, pa.array(at - w.first[w.doc[at]], pa.int64())),
-                    ],
-                    schema=schema,
-                )
+                votes, words, done = np.zeros((n, k), np.int64), np.zeros(n, np.int64), 0
+                runs: list[tuple[np.ndarray, ...]] = []  # document, language and first word of each span
+                for d, o in parts(data, offs, max(size, PART)):
+                    w, lab, lettered, voting = label(d, o, got, penalty)
+                    votes += np.bincount(w.doc[voting] * k + lab[voting], minlength=n * k).reshape(n, -1)
+                    words += np.bincount(w.doc[lettered], minlength=n)
+                    change = np.ones(len(w), bool)
+                    change[1:] = (lab[1:] != lab[:-1]) | (w.doc[1:] != w.doc[:-1])
+                    if done and len(w) and runs and len(runs[-1][1]):
+                        change[0] = lab[0] != runs[-1][1][-1]
+                    at = np.flatnonzero(change)
+                    runs.append((w.doc[at], lab[at], at - w.first[w.doc[at]] + done))
+                    done += len(w)  # only a row in parts has more than one turn
+                doc, lab, start = (np.concatenate(c) for c in zip(*runs, strict=True)) if runs else (np.zeros(0, np.int64),) * 3
+                some = words > 0
+                lang = np.where(some, votes.argmax(axis=1), k)
+                score = np.where(some, votes.max(axis=1) / np.maximum(1, words), 0.0)
+                doc, lab, start = (c[some[doc]] for c in (doc, lab, start))
+                cut = pa.array(np.searchsorted(doc, np.arange(n + 1)), pa.int32())
+                spans = [pa.ListArray.from_arrays(cut, pa.array(names[lab], pa.string())), pa.ListArray.from_arrays(cut, pa.array(start, pa.int64()))]
+                yield pa.RecordBatch.from_arrays([ids, pa.array(names[lang], pa.string()), pa.array(score, pa.float64()), *spans], schema=schema)
 
     return run
 

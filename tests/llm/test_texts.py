@@ -146,6 +146,29 @@ def test_language_id_edges(spark):
     assert langid.identify(ask.limit(0), model).count() == 0
 
 
+def test_language_id_labels_many_languages_and_scripts(spark):
+    rnd = random.Random(4)
+    vocab = {f"l{j:02d}": ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(25)] for j in range(20)}
+    vocab |= {"te": ["తెలుగు", "భాష", "నది", "ఇల్లు"], "am": ["አማርኛ", "ወንዝ", "ቤት"], "km": ["ភាសា", "ខ្មែរ", "ទន្លេ"], "got": ["𐌲𐌿𐍄𐌹𐍃𐌺", "𐍂𐌰𐌶𐌳𐌰", "𐌰𐍈𐌰"], "zh": ["汉字", "河流", "房子"]}
+    text = lambda lang, n: " ".join(rnd.choice(vocab[lang]) for _ in range(n))
+    rows = [(100 * j + i, text(lang, 25), lang, "x") for j, lang in enumerate(vocab) for i in range(30)]
+    learn = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+    model = langid.train(learn, F.lit(True))
+    langs = list(vocab)
+    rnd.shuffle(langs)
+    ask = [(i, text(lang, 20)) for i, lang in enumerate(langs)] + [(50, " ".join(text(x, 30) for x in langs)), (51, "ગુજરાતી ભાષા"), (51, None), (52, text("te", 9) + " ગુજરાતી ગુજરાતી"), (53, " ".join(["ab" * 400_000, text("l03", 200_000), text("zh", 150_000)]))]
+    out = langid.identify(spark.createDataFrame(ask, "doc_id long, text string"), model).collect()
+    got = {r.doc_id: r for r in out}
+    assert len(out) == len(ask)
+    assert [got[i].lang_pred for i in range(len(langs))] == langs
+    assert got[50].span_lang == langs and got[50].span_start == [30 * i for i in range(len(langs))]  # 25 languages in one text
+    assert sorted((r.lang_pred, r.score) for r in out if r.doc_id == 51) == [("am", 0.0), ("und", 0.0)]
+    assert got[52].lang_pred == "te" and got[52].score == pytest.approx(9 / 11)
+    assert got[53].lang_pred == "l03" and got[53].span_lang[-2:] == ["l03", "zh"] and got[53].span_start[-1] == 200_001
+    kept = langid.keep_identified(learn.limit(40).unionByName(learn.limit(1).withColumn("text", F.lit("ગુજરાતી"))), model)
+    assert kept.columns == learn.columns and kept.count() == 40
+
+
 def test_decontamination_catches_reparameterised_questions(spark):
     item = "A train leaves the old station at 10 km per hour and then Alice Smith counts 25 red wagons before the bridge."
     swap = "Some intro. A train leaves the old station at 90 km per hour and then Bob Jones counts 77 red wagons before the bridge. End."
