@@ -229,10 +229,52 @@ def test_toxicity_learns_and_ignores_identity_terms(spark):
     assert got[3] >= 0.7 and max(got[i] for i in (0, 1, 2, 4)) < 0.5
     plain = {r.doc_id: r.score for r in toxicity.score(ask, toxicity.train(docs, lab, cf=0.0)).collect()}
     assert abs(got[2] - got[4]) < 0.25 * abs(plain[2] - plain[4])
+    neutral = ["We met some Muslims at the river", "The women read the paper", "young people like music"]
+    fair, biased = (toxicity.gap(neutral, toxicity.train(docs, lab, cf=cf)) for cf in (1.0, 0.0))
+    assert fair[0] < 0.02 and fair[1] < 0.1 and biased[1] > 2 * fair[1]
     none = {r.score for r in toxicity.score(ask, toxicity.train(docs, lab.where("toxic = 0"))).collect()}
     assert none == {0.0}
 
 
+def test_toxicity_swaps_terms_in_sentences():
+    assert toxicity.naming("Old trees. The women sang!\nNothing here") == ["Old trees", " The women sang"]
+    for turn in range(40):
+        new = toxicity.swapped("The Women met muslim friends, überall", turn)
+        a, b = new.split()[1], new.split()[3]
+        assert a != "Women" and a[0].isupper() and a.lower() in toxicity.IDENTITY_TERMS[0]
+        assert b != "muslim" and b in toxicity.IDENTITY_TERMS[1] and new.endswith("friends, überall")
+    pairs = toxicity.counterfactuals("x. Muslims are muslims. y", 2)
+    assert len(pairs) == 2
+    for lost, won in pairs:  # features of a copy are those of its own words
+        assert set(lost) <= set(toxicity.text_features("muslims")) and len(lost) and len(won)
+
+
+def test_toxicity_edges(spark):
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(["tree", "river", "stone"]) for _ in range(9)) + (" moron idiot" if i % 3 == 0 else ""), "s") for i in range(300)]
+    labels = [(i, int(i % 3 == 0), 1) for i in range(300)] + [(7, None, 1), (0, 0, 1), (1, 0, 1), (500, 1, 0)]  # ties of an id: toxic counts
+    docs = spark.createDataFrame(rows + [(1, "a second text of id one", "s")], "doc_id long, text string, score string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int, text int"))
+    ask = [(0, None), (0, ""), (1, "tree moron idiot"), (1, "tree moron idiot"), (2, "tree " * 100_000), (3, "tree " * 100_000 + "moron idiot"), (None, "river")]
+    out = toxicity.score(spark.createDataFrame([(*r, 0.5) for r in ask], "doc_id long, text string, score double"), model).collect()
+    got = sorted(((r.doc_id, r.score >= 0.7) for r in out), key=str)
+    assert got == sorted([(0, False), (0, False), (1, True), (1, True), (2, False), (3, True), (None, False)], key=str)
+    assert all(0 <= r.score <= 1 for r in out)
+    assert len({r.score for r in out if r.doc_id == 0}) == 1 and len({r.score for r in out if r.doc_id == 1}) == 1
+    assert sorted(r.score for r in out) == pytest.approx(sorted(toxicity.score_text(t or "", model) for _, t in ask))
+    assert toxicity.score(docs.limit(0), model).count() == 0
+    assert toxicity.train(docs.limit(0), spark.createDataFrame(labels, "doc_id long, toxic int, text int")) is None
+
+
+def test_toxicity_query_on_held_out_labels(spark):
+    out = {r.doc_id: r for r in QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.1").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    held = [i for i in labels if out[i].held_out and labels[i] is not None]
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and r.predicted == (r.score >= 0.7) for i, r in out.items())
+    toxic, clean = [i for i in held if labels[i]], [i for i in held if not labels[i]]
+    assert np.mean([out[i].predicted for i in toxic]) > 0.85 and np.mean([out[i].predicted for i in clean]) < 0.02
+
+
 def brute_targets(sizes, weights=(5, 2, 1), cap=3):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [s for s in sizes if s is None]
     w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
