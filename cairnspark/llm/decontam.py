@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairnspark.llm.shared import Scratch, cut
 from cairnspark.llm.textnum import Words, mix, rows
 
 WINDOW = 8
 MIN_LITERALS = 3
 MIN_COVERAGE = 0.25
 MIN_CONSISTENT = 0.5
-BROADCAST_WINDOWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
+SET_BITS = 26
 
 # Words that stand for numbers, and unit words.
 NUMBER_WORDS = """zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen
@@ -212,11 +214,31 @@ def _item_windows(window: int):
     return run
 
 
-def _doc_windows(lengths: list[int], wanted):
-    """Windows of the documents, of lengths below 0 as they are; only those in the broadcast sorted hashes, if there are any."""
+def _bits(size: int):
+    """The bit set of a partition's hashes: bit h mod 2^size of each."""
 
     def run(batches):
-        known = wanted.value if wanted is not None else None
+        found = np.zeros(1 << size, bool)
+        for batch in batches:
+            found[batch.column("h").to_numpy().view(np.uint64) & _U((1 << size) - 1)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(found).tobytes()], pa.binary())], names=["bits"])
+
+    return run
+
+
+def bit_set(windows: DataFrame, size: int) -> np.ndarray:
+    """2^size bits as bytes: the union of the partitions' sets, taken in one at a time."""
+    out = np.zeros(1 << size >> 3, np.uint8)
+    for r in windows.select("h").coalesce(8).mapInArrow(_bits(size), "bits binary").toLocalIterator():
+        out |= np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def _doc_windows(lengths: list[int], wanted, size: int):
+    """Windows of the documents, of lengths below 0 as they are; only those in the broadcast bit set."""
+
+    def run(batches):
+        known, low = wanted.value, _U((1 << size) - 1)
         for batch in batches:
             for lo, hi, data, offs in rows(batch, "text"):
                 canon, value, slot, doc, raw = template_tokens(data, offs)
@@ -224,9 +246,9 @@ def _doc_windows(lengths: list[int], wanted):
                 names = ["doc_id", "doc_pos", "h", "doc_slots"]
                 for k in lengths:
                     h, at = windows_of(canon, slot, doc, k) if k > 0 else exact_windows(raw, -k)
-                    if known is not None:
-                        hit = _isin(h, known)
-                        h, at = h[hit], at[hit]
+                    bit = h & low
+                    hit = (known[(bit >> _U(3)).astype(np.int64)] >> (_U(7) - (bit & _U(7))).astype(np.uint8)) & 1 > 0
+                    h, at = h[hit], at[hit]
                     if len(at):
                         yield _emit(ids, k, h, at, value, slot, doc, names) if k > 0 else _emit_exact(ids, h, at, raw, names)
 
@@ -303,7 +325,8 @@ def matches(
     window: int = WINDOW,
     min_coverage: float = MIN_COVERAGE,
     min_consistent: float = MIN_CONSISTENT,
-    broadcast_windows: int = BROADCAST_WINDOWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    set_bits: int = SET_BITS,
 ) -> DataFrame:
     """(doc_id, item_id, coverage, consistent, exact) of the contaminated pairs.
 
@@ -312,27 +335,25 @@ def matches(
     share of slot values with one counterpart (1 without slots) in the best
     occurrence, ``exact`` whether all slots of an occurrence kept their values.
     """
-    from cairnspark.llm.shared import cut
-
+    work = Scratch()
     spark = docs.sparkSession
-    iw = cut(items.select("item_id", "text").mapInArrow(_item_windows(window), "item_id long, item_pos long, h long, item_slots array<bigint>, k long"), "items")
+    iw = work.cut(items.select("item_id", "text").mapInArrow(_item_windows(window), "item_id long, item_pos long, h long, item_slots array<bigint>, k long"), "items")
     lengths = sorted(r.k for r in iw.select("k").distinct().collect())
-    n = iw.count()
-    wanted = None
-    if n <= broadcast_windows:
-        hashes = np.unique(iw.select("h").toArrow()["h"].to_numpy().astype(np.int64).view(np.uint64)) if n else np.zeros(0, np.uint64)
-        wanted = spark.sparkContext.broadcast(hashes)
-    dw = docs.select("doc_id", "text").mapInArrow(_doc_windows(lengths, wanted), "doc_id long, doc_pos long, h long, doc_slots array<bigint>")
+    size = iw.agg(F.sum(64 + 8 * F.size("item_slots").cast("long")).alias("b")).first().b or 0
+    wanted = spark.sparkContext.broadcast(bit_set(iw, set_bits))
+    dw = docs.select("doc_id", "text").mapInArrow(_doc_windows(lengths, wanted, set_bits), "doc_id long, doc_pos long, h long, doc_slots array<bigint>")
     total = iw.groupBy("item_id").agg(F.countDistinct("h").alias("total"), F.countDistinct(F.when(F.col("k") > 0, F.col("h"))).alias("general"))
     side = iw.select("*", (F.col("k") > 0).alias("g")).drop("k").join(total, "item_id")
-    pairs = dw.join(F.broadcast(side) if wanted is not None else side, "h")
+    pairs = dw.join(F.broadcast(side) if size <= broadcast_bytes else side, "h")
     hit = F.struct("doc_pos", "item_pos", "h", "g", "item_slots", "doc_slots")
     found = pairs.groupBy("doc_id", "item_id", "total", "general").agg(F.collect_set(hit).alias("hits"))
     # of all windows, or of those with placeholders: a question filled anew has none of the others
     everything = F.size(F.array_distinct(F.transform("hits", lambda m: m["h"]))) >= min_coverage * F.col("total")
     general = F.size(F.array_distinct(F.transform(F.filter("hits", lambda m: m["g"]), lambda m: m["h"]))) >= min_coverage * F.col("general")
     found = found.where(everything | ((F.col("general") > 0) & general))
-    return found.mapInArrow(_judge(window, min_coverage, min_consistent), "doc_id long, item_id long, coverage double, consistent double, exact boolean")
+    found = cut(found.mapInArrow(_judge(window, min_coverage, min_consistent), "doc_id long, item_id long, coverage double, consistent double, exact boolean"), "contaminated")
+    work.clear()
+    return found
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

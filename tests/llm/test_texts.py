@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 
 import duckdb
@@ -176,8 +177,8 @@ def test_decontamination_catches_reparameterised_questions(spark):
     items = spark.createDataFrame([(1, item, 0), (2, "short odd item", 0), (3, None, 0), (4, "", 0)], "item_id long, text string, h int")
     rows = [(0, None), (1, ""), (2, item), (3, swap), (4, mangled), (5, "here is a short odd item inside"), (6, "w " * 50000 + item), (7, item + " " + item)]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, h int")
-    for bound in (10**6, 0):  # broadcast, then the shuffled join
-        got = {r.doc_id: r for r in decontam.decontaminate(docs, items, broadcast_windows=bound).collect()}
+    for bound in ({}, {"broadcast_bytes": 0}, {"set_bits": 3}):  # broadcast, the shuffled join, and a bit set that lets all pass
+        got = {r.doc_id: r for r in decontam.decontaminate(docs, items, **bound).collect()}
         assert {i for i, r in got.items() if r.contaminated} == {2, 3, 5, 6, 7}
         assert got[2].exact and not got[3].exact and got[3].item_ids == [1] and got[5].item_ids == [2]
     assert not any(r.contaminated for r in decontam.decontaminate(docs, items.limit(0)).collect())
@@ -192,20 +193,98 @@ def test_decontamination_judges_each_occurrence(spark):
     scattered = "\n".join(f"The train leaves the old station at {i} km per hour and then stops." for i in range(40))
     items = spark.createDataFrame([(i, ask.format(*f)) for i, f in enumerate(fills[:3])], "item_id long, text string")
     docs = spark.createDataFrame([(0, sheet), (1, "\n".join(sheet.split("\n")[1:])), (2, edited), (3, sheet + "\n" + scattered)], "doc_id long, text string")
-    for bound in (10**6, 0):
-        got = {(r.doc_id, r.item_id): r for r in decontam.matches(docs, items, broadcast_windows=bound).collect()}
+    for bound in (1 << 20, 0):
+        got = {(r.doc_id, r.item_id): r for r in decontam.matches(docs, items, broadcast_bytes=bound).collect()}
         assert set(got) == {(d, i) for d in range(4) for i in range(3)}
         assert {k for k, r in got.items() if r.exact} >= {(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (3, 0)} and not got[1, 0].exact
 
 
+def test_decontamination_of_variants_repeated_rows_and_items(spark):
+    ask = "In the village of {} a miller sold {} sacks of flour for {} dollars each and kept {} for the winter months."
+    fill = lambda i: ask.format(["Ashford", "Bexley", "Corby", "Dover", "Epsom", "Frome"][i], 11 * i + 3, 7 * i + 2, 5 * i + 9)
+    plain = "Nobody in the valley could say when the old bridge had been built, and few of them cared to ask."
+    rows = [(n, "\n".join(["Worksheet.", *[fill(i) for i in range(1, n + 1)], plain])) for n in range(1, 6)]
+    rows += [(10, plain), (10, plain), (11, fill(0)), (11, fill(0)), (12, plain), (12, fill(2)), (None, fill(0)), (13, plain * 3000 + fill(0) + plain * 3000)]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, h int, item_id string")
+    items = spark.createDataFrame([(1, fill(0)), (1, fill(0)), (2, fill(0))], "item_id long, text string")
+    out = decontam.decontaminate(docs, items).collect()
+    assert len(out) == len(rows)
+    assert {r.doc_id for r in out if r.contaminated} == {1, 2, 3, 4, 5, 11, 12, 13}
+    assert all(r.item_ids == [1, 2] for r in out if r.contaminated)
+    assert {r.doc_id for r in out if r.exact} == {11, 13}
+
+
+def brute_tokens(text, merge=True):
+    """Template tokens by regular expressions, for ASCII texts."""
+    numbers, units = set(decontam.NUMBER_WORDS), set(decontam.UNIT_WORDS)
+    out, last = [], 0
+    for m in re.finditer(r"[A-Za-z0-9](?:[A-Za-z0-9]|(?<=[0-9])[.,](?=[0-9]))*", text):
+        w, opens = m.group(), not out or re.search(r"[.!?:;\n\r|]", text[last : m.start()])
+        last = m.end()
+        low = w.lower()
+        if re.search("[0-9]", w) or low in numbers:
+            kind = "NUM"
+        elif low in units:
+            kind = "UNIT"
+        elif w[0].isupper() and not opens and len(w) > 1:
+            kind = "NAME"
+        else:
+            kind = low
+        if merge and kind == "NAME" and out and out[-1][0] == "NAME":
+            out[-1] = ("NAME", out[-1][1] + " " + low)
+        else:
+            out.append((kind, low))
+    return out
+
+
+def test_decontamination_equals_brute_force_on_windows(spark):
+    rnd = random.Random(12)
+    words = ["river", "stone", "counts", "before", "Alice", "Bob Jones", "12", "7.5", "three", "km", "the", "old", "wagon.", "and", "So"]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    items = [(i, text(rnd.randint(12, 30))) for i in range(25)]
+    docs = [(i, text(30) + " " + (" ".join(items[i % 25][1].split(" ")[: 8 + i % 20]) if i % 3 else "") + " " + text(10)) for i in range(120)]
+    kinds = {"NUM", "UNIT", "NAME"}
+
+    def windows(text):
+        toks = brute_tokens(text)
+        out = {}
+        for i in range(len(toks) - 7):
+            w = toks[i : i + 8]
+            if sum(k not in kinds for k, _ in w) >= 3:
+                out.setdefault(tuple(k for k, _ in w), []).append((i, [v for k, v in w if k in kinds]))
+        return out, len(toks)
+
+    got = {(r.doc_id, r.item_id): r for r in decontam.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    every = [(i, *windows(t)) for i, t in items]
+    seen = 0
+    for d, t in docs:
+        dw, _ = windows(t)
+        for i, iw, n in every:
+            if n < 8 or not iw:
+                continue
+            hits = [{"doc_pos": p, "item_pos": q, "h": h, "g": True, "item_slots": a, "doc_slots": b} for h in iw for q, a in iw[h] for p, b in dw.get(h, [])]
+            best = max((len({m["h"] for m in hits if m["doc_pos"] - m["item_pos"] == s}) / len(iw) for s in {m["doc_pos"] - m["item_pos"] for m in hits}), default=0)
+            same = any(
+                len({m["h"] for m in run}) >= 0.25 * len(iw) and all(m["item_slots"] == m["doc_slots"] for m in run)
+                for run in ([m for m in hits if m["doc_pos"] - m["item_pos"] == s] for s in {m["doc_pos"] - m["item_pos"] for m in hits})
+            )
+            if same and best >= 0.25:  # a copy of a quarter of the item's windows, slots and all
+                seen += 1
+                assert got[d, i].exact
+            if len({m["h"] for m in hits}) < 0.25 * len(iw):
+                few = got.get((d, i))
+                assert few is None or any(sum(k not in kinds for k, _ in w) < 3 for w in zip(*[brute_tokens(items[i][1], False)[j:] for j in range(8)]))
+    assert seen > 30
+
+
 def test_decontamination_finds_items_without_literals_and_spaces(spark):
     texts = ["What is 15 + 27?", "7 km 12 kg 9 ml 14 mm 3 days 18 hours 21 km 4 weeks 16 tons", "2 + 2", "小明有十五个苹果，他又买了二十七个苹果，现在一共有多少个苹果？", "รถไฟออกจากสถานีเก่าตอนเช้า", "Alice Smith and Bob Jones"]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
     rows = [f"Here is one more for you. {t} And that is the end of it." for t in texts] + ["What is 15 + 28? 2 + 2 = 4, as 7 km 12 kg.", "小红有三本书。", "ALICE SMITH and Bob met.", "the question what is 15 + 27 was asked", "小学老师说：" + texts[3] + "请回答。", ""]
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     docs = docs.where("doc_id <> 2").union(spark.createDataFrame([(2, "Solve this:\n2 + 2\nThen go on.")], docs.schema))
-    for bound in (10**6, 0):
-        got = {(r.doc_id, r.item_id): r for r in decontam.matches(docs, items, broadcast_windows=bound).collect()}
+    for bound in (1 << 20, 0):
+        got = {(r.doc_id, r.item_id): r for r in decontam.matches(docs, items, broadcast_bytes=bound).collect()}
         assert set(got) == {(i, i) for i in range(6)} | {(9, 0), (10, 3)}
         assert all(r.exact for r in got.values())
 
