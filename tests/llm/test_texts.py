@@ -82,15 +82,27 @@ def test_line_dedup_drops_a_long_footer_of_short_documents(spark):
 
 
 def test_licenses_edges_and_sql(spark):
+    import textwrap
+
+    full = {i: t for i, _, t in licenses.TEMPLATES}
+    wrapped = textwrap.wrap(full[17], 72)
+    code = [f"int value_{i} = compute({i}) + the_result;" for i in range(60)]
     rows = [(0, None), (1, ""), (2, "x"), (3, "Licensed under the Apache License, Version 2.0.\nhello"), (4, "ALL RIGHTS RESERVED!"), (5, "licensed under CC BY-NC 4.0\nlicensed under CC BY-NC 4.0"), (6, "word " * 9000)]
-    rows.append((7, next(t for i, _, t in licenses.TEMPLATES if i == 5)))
-    rows.append((8, "Licensed under the Apache Software License, Version 2.0 today"))
-    df = spark.createDataFrame([(*r, "l", "g", 1) for r in rows], TEXTS)
+    rows += [(7, full[5]), (8, "Licensed under the Apache Software License, Version 2.0 today")]
+    rows += [(9, "\n".join(["/* header", *[" * " + x for x in wrapped], " */", *code]))]  # above 60 lines of code
+    rows += [(10, "\n".join([*code, "", *["# " + x for x in textwrap.wrap(full[20], 60)], *code, "All rights reserved.", *textwrap.wrap(full[22], 90)]))]
+    rows += [(3, "no licence"), (3, "All rights reserved."), (3, "All rights reserved."), (None, "Released under the MIT License."), (11, "\n".join(code * 40 + wrapped + ["of the software"] * 500)), (12, full[18].replace(" ", "\n"))]
+    df = spark.createDataFrame([(*r, "l", "g", 1) for r in rows], "doc_id long, text string, license string, first_line string, dice int")
     got = licenses.scan(df)
-    found = {(r.doc_id, r.unit): r.license for r in got.collect()}
-    assert found[3, 0] == "Apache-2.0" and found[4, 0] == "proprietary" and found[7, 0] == "MIT" and found[5, 1] == "CC-BY-NC-4.0"
-    assert not {d for d, _ in found} & {0, 1, 2, 6}
+    found = sorted(((r.doc_id, r.first_line, r.last_line, r.license) for r in got.collect()), key=str)
+    last = len(rows[10][1].split("\n")) - 1
+    n20, n22 = len(textwrap.wrap(full[20], 60)), len(textwrap.wrap(full[22], 90))
+    want = [(3, 0, 0, "Apache-2.0"), (4, 0, 0, "proprietary"), (5, 0, 0, "CC-BY-NC-4.0"), (5, 1, 1, "CC-BY-NC-4.0"), (7, 0, 0, "MIT"), (9, 1, len(wrapped), "MIT")]
+    want += [(10, 61, 60 + n20, "BSD-3-Clause"), (10, last - n22, last - n22, "proprietary"), (10, last - n22 + 1, last, "GPL-3.0"), (3, 0, 0, "proprietary"), (3, 0, 0, "proprietary"), (None, 0, 0, "MIT")]
+    want += [(11, 2400, 2399 + len(wrapped), "MIT"), (12, 0, len(full[18].split()) - 2, "ISC")]  # its last bigram is a repeated one
+    assert found == sorted(want, key=str)
     same_as_sql(got, licenses.OP3_SQL, documents=df.select("doc_id", "text"))
+    assert licenses.scan(df.limit(0)).count() == 0 and licenses.scan(df, []).count() == 0
 
 
 def brute_viterbi(s, penalty):
