@@ -10,14 +10,16 @@ Equal sets are one class from the start (grouped by a 128-bit fingerprint),
 so copies are never paired.  Each class is first compared with the smallest
 ids of its band buckets.  Classes at least half similar to those form
 clusters; where links have not joined a whole cluster, all its pairs are
-compared inside tasks, in blocks, which emit spanning edges and no pairs.
+compared inside tasks, in blocks of bounded rows and shingles, which emit
+spanning edges and no pairs.
 Pairs of a bucket across clusters are compared unless the triangle inequality
 rules them out.  No cap on buckets or partners.
 
 Edge cases: a null or empty text, or one without words, has no shingles and
 links with nothing; fewer words than a shingle count as one whole sequence;
-repeated rows with one doc_id are one class; ties go to the smallest id; an
-empty table gives an empty result; extra columns are ignored.
+repeated ids are rows of their own, one class only if their sets are equal;
+ties go to the smallest id, and a null id is never the smallest; an empty
+table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairnspark.llm.shared import components, cut, drop
+from cairnspark.llm.shared import Scratch, components, cut
 from cairnspark.llm.textnum import GOLDEN, as_bytes, blocks, mix, rows, shingle_sets
 
 SLOTS, BANDS = 160, 32
 SHINGLE, SIMILAR = 5, 80
 GROUP = 1 << 17
-BLOCK = 1500
+BLOCK, BLOCK_SHINGLES = 1500, 4_000_000
 _U = np.uint64
 
 
@@ -108,13 +110,13 @@ def _sign(k: int, slots: int, bands: int, seed: int):
                         key[:, b] = v
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(lo, hi - lo),
+                        *[batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "id", "tag")],
                         pa.array(n),
                         pa.array(f1.view(np.int64)),
                         pa.array(f2.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), pa.array(key.reshape(-1).view(np.int64))),
                     ],
-                    names=["doc_id", "n_shingles", "f1", "f2", "bands"],
+                    names=["doc_id", "id", "tag", "n_shingles", "f1", "f2", "bands"],
                 )
 
     return run
@@ -222,13 +224,18 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR, s
     ``k``-word shingle sets.  With 32 bands of 5 a pair at 0.8 is missed with
     probability 3e-6, less above.
     """
-    texts = docs.select("doc_id", "text")
-    sig = cut(texts.mapInArrow(_sign(k, slots, bands, seed), "doc_id long, n_shingles long, f1 long, f2 long, bands array<bigint>"), "sig")
-    classes = cut(sig.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sig.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    work = Scratch()
+    # a row's key is its id and a hash of its text, since ids may repeat; classes have numbers of their own
+    texts = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("tag"), "text")
+    sig = work.cut(texts.mapInArrow(_sign(k, slots, bands, seed), "doc_id long, id long, tag long, n_shingles long, f1 long, f2 long, bands array<bigint>"), "sig")
+    firsts = [F.first(c).alias(c) for c in ("id", "tag", "n_shingles", "bands")]
+    classes = work.cut(sig.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("smallest"), *firsts), "classes")
+    classes = work.cut(classes.withColumn("rep", F.monotonically_increasing_id()), "numbered")
+    reps = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     shared = reps.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("top")).where("lead < top").select("key", "lead")
-    buckets = cut(reps.join(shared, "key").distinct(), "buckets")
-    cand = cut(texts.join(buckets.select(F.col("rep").alias("id")).distinct(), F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]), "cand")
+    buckets = work.cut(reps.join(shared, "key").distinct(), "buckets")
+    wanted = classes.select("rep", "id", "tag").join(buckets.select("rep").distinct(), "rep")
+    cand = work.cut(texts.select("id", "tag", "text").join(wanted, ["id", "tag"]).groupBy(F.col("rep").alias("doc_id")).agg(F.first("text").alias("text")), "cand")
 
     def measured(p: DataFrame) -> DataFrame:
         with_a = p.join(cand.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
@@ -239,38 +246,42 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR, s
     # 1. each class against the smallest ids of its buckets: the one it meets most often, and all it meets twice
     met = buckets.where("rep <> lead").groupBy(F.col("lead").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("c"))
     best = Window.partitionBy("b").orderBy(F.col("c").desc(), "a")
-    pairs = cut(met.withColumn("k", F.row_number().over(best)).where("k = 1 or c > 1").select("a", "b"), "pairs")
-    sim = cut(measured(pairs), "sim")
+    pairs = work.cut(met.withColumn("k", F.row_number().over(best)).where("k = 1 or c > 1").select("a", "b"), "pairs")
+    sim = work.cut(measured(pairs), "sim")
     # 2. half-similar classes form clusters; in those that links have not joined, all pairs are compared, in blocks
-    comp = cut(components(sim.where(link).select("a", "b")), "comp")
-    cluster = cut(components(sim.where("either > 0 and 2 * both >= either").select("a", "b")).toDF("node", "cluster"), "cluster")
+    comp = work.cut(components(sim.where(link).select("a", "b")), "comp")
+    cluster = work.cut(components(sim.where("either > 0 and 2 * both >= either").select("a", "b")).toDF("node", "cluster"), "cluster")
     at = cluster.join(comp, "node", "left").select("node", "cluster", F.coalesce("root", "node").alias("comp"))
     at = at.union(cluster.select(F.col("cluster").alias("node"), "cluster").distinct().join(comp, "node", "left").select("node", "cluster", F.coalesce("root", "node")))
-    at = cut(at, "members")
-    torn = at.groupBy("cluster").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("cluster", F.ceil(F.col("size") / block).alias("blocks"))
+    at = work.cut(at, "members")
+    sized = at.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node")
+    torn = sized.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    torn = torn.select("cluster", F.ceil(F.greatest(F.col("size") / block, F.col("n") / BLOCK_SHINGLES)).alias("blocks"))
     dealt = at.join(torn, "cluster").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select(F.col("node").alias("rep"), F.xxhash64("cluster", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
     groups = dealt.join(cand, F.col("doc_id") == F.col("rep")).select("key", "rep", "text").repartition("key").sortWithinPartitions("key")
-    inner = cut(groups.mapInArrow(_link_groups(k, similar), "a long, b long"), "inner")
+    inner = work.cut(groups.mapInArrow(_link_groups(k, similar), "a long, b long"), "inner")
     # 3. pairs of a bucket across clusters; Jaccard distance is a metric, so the distances to the bucket's lead rule most out
     of = at.select(F.col("node").alias("rep"), "cluster")
     known = sim.select(F.col("a").alias("lead"), F.col("b").alias("rep"), (1 - F.col("both") / F.col("either")).alias("far"))
     spread = buckets.join(of, "rep", "left").withColumn("cluster", F.coalesce("cluster", "rep"))
     mixed = spread.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo <> hi").select("key")
     rest = spread.join(mixed, "key", "left_semi").join(known, ["lead", "rep"], "left").select("key", "rep", "n", "cluster", F.when(F.col("rep") == F.col("lead"), 0.0).otherwise(F.col("far")).alias("far"))
-    rest = cut(rest, "rest")
+    rest = work.cut(rest, "rest")
     x, y = rest, rest.toDF("key", "rep2", "n2", "cluster2", "far2")
     apart = x.join(y, "key").where("rep < rep2 and cluster <> cluster2").where(100 * F.least("n", "n2") >= similar * F.greatest("n", "n2"))
     apart = apart.where(F.coalesce(F.abs(F.col("far") - F.col("far2")) <= F.lit((100 - similar) / 100 + 1e-9), F.lit(True)))
-    fresh = cut(apart.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "fresh")
+    fresh = work.cut(apart.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "fresh")
     outer = measured(fresh).where(link).select("a", "b")
-    comp = cut(components(sim.where(link).select("a", "b").union(inner).union(outer)), "comp")
-    for used in (buckets, cand, pairs, sim, rest):
-        drop(used)
-    named = classes.join(comp, F.col("rep") == F.col("node"), "left").select("f1", "f2", F.coalesce("root", "rep").alias("component"))
+    comp = work.cut(components(sim.where(link).select("a", "b").union(inner).union(outer)), "comp")
+    named = work.cut(classes.join(comp, F.col("rep") == F.col("node"), "left").select("f1", "f2", "smallest", F.coalesce("root", "rep").alias("root")), "named")
+    least = named.groupBy(F.col("root").alias("r")).agg(F.min("smallest").alias("component"))
+    named = named.join(least, F.col("root") == F.col("r")).select("f1", "f2", "component")
     out = sig.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    out = cut(out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")), "groups")
+    work.clear()
+    return out
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,6 +59,17 @@ def test_minhash_equals_brute_force(spark, k):
         assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
+def test_minhash_with_repeated_and_null_ids(spark):
+    rnd = random.Random(11)
+    text = lambda: " ".join("".join(rnd.choice("abcdefg") for _ in range(5)) for _ in range(200))
+    a, b, c = text(), text(), text()
+    near = lambda t: t.rsplit(" ", 4)[0] + " x y z"
+    rows = [(5, a), (5, b), (5, a), (6, near(a)), (7, near(b)), (8, c), (None, c), (None, near(c)), (None, None), (9, ""), (9, " \n"), (10, "solo"), (11, "SOLO"), (12, "z " * 300_000), (13, "z " * 300_001)]
+    got = [tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()]
+    want = [(5, 5, True), (5, 5, True), (5, 5, True), (6, 5, False), (7, 5, False), (8, 8, True), (None, 8, False), (None, 8, False), (None, None, True), (9, 9, True), (9, 9, True), (10, 10, True), (11, 10, False), (12, 12, True), (13, 12, False)]
+    assert sorted(((i, m, k) for i, _, m, k in got), key=str) == sorted(want, key=str)
+
+
 def test_minhash_of_an_empty_table(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
