@@ -507,3 +507,93 @@ def test_pipeline_decisions(spark, tmp_path):
     assert {9002, 9003} == ids[0] - ids[1]
     assert 9001 not in ids[3] and base.doc_id in ids[3]
     assert 9004 in ids[3] and 9004 not in ids[4]
+
+
+def brute_line_dedup(texts):
+    """Kept texts, by dictionaries over all lines."""
+    split = {t: [[w for w in re.split("[ \\t\\r]+", x) if w] for x in t.split("\n")] for t in set(texts) - {None}}
+    mask = lambda w: "<*>" if re.search("[0-9]", w) else w
+    leaf = lambda ws: (len(ws), *map(mask, ws[: line_dedup.DEPTH]))
+    holders, tokens, shapes = {}, {}, {}
+    for t, lines in split.items():
+        for ws in lines:
+            if len(ws) >= line_dedup.MIN_TOKENS:
+                holders.setdefault(leaf(ws), set()).add(t)
+    for lines in split.values():
+        for ws in lines:
+            for i, w in enumerate(ws):
+                tokens[leaf(ws), i, mask(w)] = tokens.get((leaf(ws), i, mask(w)), 0) + 1
+
+    def shape(ws):
+        if len(ws) < line_dedup.MIN_TOKENS or len(holders[leaf(ws)]) < line_dedup.MIN_SUPPORT:
+            return None
+        out = tuple(mask(w) if i < line_dedup.DEPTH or tokens[leaf(ws), i, mask(w)] >= line_dedup.MIN_SUPPORT else "<*>" for i, w in enumerate(ws))
+        return out if sum(w != "<*>" for w in out) >= line_dedup.MIN_FIXED * len(out) else None
+
+    for t, lines in split.items():
+        for ws in lines:
+            if shape(ws):
+                shapes.setdefault(shape(ws), set()).add(t)
+    gone = {x for x, ts in shapes.items() if len(ts) >= line_dedup.MIN_SUPPORT}
+    return {t: "\n".join(x for x, ws in zip(t.split("\n"), lines, strict=True) if shape(ws) not in gone) for t, lines in split.items()} | {None: None}
+
+
+def test_pipeline_stages_equal_plain_versions(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sources = docs.select("source").distinct().count()
+    footer = "This footer stands below every page of ours"
+    rnd = random.Random(21)
+    words = [w for r in docs.where("lang = 'en'").limit(20).collect() for w in r.text.split()]
+    body = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    base = body(120)
+    more = [(8000 + i, f"{body(30)}\n{footer}", "en", "src1", 1) for i in range(15)] + [(8100 + i, base.replace(" ", "  ", i) if i < 5 else base + f" tail{i}", "en", "src2", 1) for i in range(12)]
+    more += [(8200, None, None, None, None), (8201, "", "en", "src1", 0), (8201, body(9), "en", "src1", 0), (8202, footer, "en", "src3", 1), (8203, body(60_000), "en", None, 1)]
+    path = str(tmp_path)
+    extra = "1 AS kept", "2 AS n_lines", "'s' AS size", "'x' AS line", "3L AS component_id"
+    docs.union(spark.createDataFrame(more, docs.schema)).selectExpr("*", *extra).write.parquet(f"{path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{path}/benchmark.parquet")
+    tables = [spark.read.parquet(f"{path}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, tables[-1], path).write.parquet(f"{path}/{name}")
+        tables.append(spark.read.parquet(f"{path}/{name}"))
+        if name != "mix_sources":
+            assert tables[-1].columns == tables[0].columns
+    start, lang, line, near, clean, mixed = [t.collect() for t in tables]
+    texts = lambda rows: sorted((str(r.doc_id), r.text) for r in rows)
+    model = langid.train(tables[0].select("doc_id", "text", "lang"), F.lit(True))
+    verdict = langid.identify(tables[0], model).where("lang_pred <> 'und'").where(F.col("score") >= langid.MIN_SCORE)
+    assert sorted(str(r.doc_id) for r in verdict.collect()) == sorted(str(r.doc_id) for r in lang)
+    want = brute_line_dedup([r.text for r in lang])
+    assert texts(line) == sorted((str(r.doc_id), want[r.text]) for r in lang if want[r.text].strip() or want[r.text] == r.text)
+    assert not any(r.text.endswith(footer) for r in line) and len(start) - len(lang) >= 2
+    sets = {}
+    for r in line:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m.group().lower(), r.text.encode()))
+        sets.setdefault(r.doc_id, []).append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)})
+    keep = set(sets)
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and any(100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b]):
+                keep.discard(b)  # links of this fixture chain to no smaller id than their own
+    assert {r.doc_id for r in near} == keep
+    flagged = {r.doc_id for r in decontam.matches(tables[3], spark.read.parquet(f"{path}/benchmark.parquet")).collect()}
+    assert texts(clean) == texts(r for r in near if r.doc_id not in flagged)
+    sizes = {}
+    for r in clean:
+        sizes[r.source] = sizes.get(r.source, 0) + len(r.text.split())
+    goal = brute_targets(sizes)
+    assert sources and all(r.target == pytest.approx(goal[r.source]) and r.taken == r.copies * r.size and 0 < r.copies <= 3 for r in mixed)
+    assert sum(r.taken for r in mixed) == pytest.approx(sum(sizes.values()), rel=0.1)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    now = docs
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, now, SF).write.parquet(f"{tmp_path}/{name}")
+        now = spark.read.parquet(f"{tmp_path}/{name}")
+        assert now.count() == 0
