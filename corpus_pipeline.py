@@ -3,6 +3,15 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor
 kept, and returns a DataFrame that is written as Parquet and read again as the
 next stage's documents.
+
+Edge cases, of all stages: extra columns pass through all stages but the last,
+whatever their names; repeated rows and ids are rows of their own, except that
+near_dedup keeps all rows of the id that stays, and decontaminate drops all
+rows of an id that holds a benchmark item; an empty table gives an empty
+result.  A null or empty text, or one without letters, is rejected by the first
+stage; the others keep such a row (line_dedup and near_dedup unchanged, the mix
+as size 0).  A null id is kept where its row is not rejected: it is the
+smallest of no group and matches no item.  Very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -56,7 +65,8 @@ STAGES = [
     ("mix_sources", mix),
 ]
 
-#: SQL can't express the model of the first stage; tests/llm compare every stage with a brute-force version.
+#: SQL can't express the model of the first stage.  tests/llm compare the rows of run(): each stage's with what a plain Python
+#: version (line_dedup, near_dedup, targets of mix_sources) or the operator's own verdicts (language_id, decontaminate) give.
 ORACLE_SQL = None
 
 
