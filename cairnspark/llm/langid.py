@@ -41,7 +41,7 @@ TRAIN_DOCS = 2000
 SWITCH = 12.0
 PIECE = 32
 MIN_SCORE = 0.3
-PART = 1 << 20
+PART = 1 << 19
 
 
 @lru_cache(maxsize=1)
@@ -279,7 +279,7 @@ def _predict(model, penalty: float):
         got = model.value
         k = len(got.langs)
         names = np.array([*got.langs, "und"], dtype=object)
-        size = max(1 << 14, (1 << 22) // max(4, k))
+        size = max(1 << 14, (1 << 21) // max(4, k))
         for batch in batches:
             for lo, hi, data, offs in rows(batch, "text", size):
                 n = hi - lo
@@ -288,7 +288,7 @@ def _predict(model, penalty: float):
                     empty = pa.array([[]] * n, schema.field(3).type), pa.array([[]] * n, schema.field(4).type)
                     yield pa.RecordBatch.from_arrays([ids, pa.array(["und"] * n), pa.array([0.0] * n), *empty], schema=schema)
                     continue
-                votes, words, done = np.zeros((n, k), np.int64), np.zeros(n, np.int64), 0
+                votes, words, done, last = np.zeros((n, k), np.int64), np.zeros(n, np.int64), 0, -1
                 runs: list[tuple[np.ndarray, ...]] = []  # document, language and first word of each span
                 for d, o in parts(data, offs, max(size, PART)):
                     w, lab, lettered, voting = label(d, o, got, penalty)
@@ -296,11 +296,11 @@ def _predict(model, penalty: float):
                     words += np.bincount(w.doc[lettered], minlength=n)
                     change = np.ones(len(w), bool)
                     change[1:] = (lab[1:] != lab[:-1]) | (w.doc[1:] != w.doc[:-1])
-                    if done and len(w) and runs and len(runs[-1][1]):
-                        change[0] = lab[0] != runs[-1][1][-1]
+                    if done and len(w):
+                        change[0] = lab[0] != last
                     at = np.flatnonzero(change)
                     runs.append((w.doc[at], lab[at], at - w.first[w.doc[at]] + done))
-                    done += len(w)  # only a row in parts has more than one turn
+                    done, last = done + len(w), lab[-1] if len(w) else last  # only a row in parts has more than one turn
                 doc, lab, start = (np.concatenate(c) for c in zip(*runs, strict=True)) if runs else (np.zeros(0, np.int64),) * 3
                 some = words > 0
                 lang = np.where(some, votes.argmax(axis=1), k)

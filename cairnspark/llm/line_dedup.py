@@ -175,7 +175,11 @@ def drop_lines(docs: DataFrame, found: Recurring, lookup_bytes: int = LOOKUP_BYT
         kept = F.array_join("_cairn_keep", "\n")
     counts = [F.when(F.col("text").isNull(), 0).otherwise(F.size(c)).cast("long") for c in ("_cairn_lines", "_cairn_keep")]
     whole = F.size("_cairn_keep") == F.size("_cairn_lines")
-    return out.withColumns(dict(zip(names, [F.when(whole, F.col("text")).otherwise(kept), *counts], strict=True))).drop("_cairn_lines", "_cairn_keep")
+    made = [F.when(whole, F.col("text")).otherwise(kept), *counts]
+    # out of a generator, so that a filter on them does not make them again
+    one = F.explode(F.array(F.struct(*[c.alias(n) for c, n in zip(made, names, strict=True)]))).alias("_cairn_out")
+    out = out.select(*[c for c in docs.columns if c not in names], one)
+    return out.select(*[F.col(f"_cairn_out.{c}").alias(c) if c in names else F.col(c) for c in docs.columns], *[F.col(f"_cairn_out.{c}") for c in names if c not in docs.columns])
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
