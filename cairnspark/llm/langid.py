@@ -290,8 +290,11 @@ def _predict(model, penalty: float):
                     continue
                 votes, words, done, last = np.zeros((n, k), np.int64), np.zeros(n, np.int64), 0, -1
                 runs: list[tuple[np.ndarray, ...]] = []  # document, language and first word of each span
+                inside = False
                 for d, o in parts(data, offs, max(size, PART)):
                     w, lab, lettered, voting = label(d, o, got, penalty)
+                    done -= inside and bool(len(d)) and bool(w.word[0])  # goes on with the word that the last part ended in
+                    inside = bool(len(d)) and bool(w.word[-1])
                     votes += np.bincount(w.doc[voting] * k + lab[voting], minlength=n * k).reshape(n, -1)
                     words += np.bincount(w.doc[lettered], minlength=n)
                     change = np.ones(len(w), bool)

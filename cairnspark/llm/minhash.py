@@ -34,8 +34,8 @@ from cairnspark.llm.textnum import GOLDEN, as_bytes, blocks, mix, rows, shingle_
 
 SLOTS, BANDS = 160, 32
 SHINGLE, SIMILAR = 5, 80
-GROUP = 1 << 17
-BLOCK, BLOCK_SHINGLES = 1500, 4_000_000
+GROUP = 1 << 16
+BLOCK, BLOCK_SHINGLES = 1000, 2_000_000
 _U = np.uint64
 
 

@@ -8,6 +8,7 @@ bounds a worker's memory whatever the batch size.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,8 +159,17 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> list[np.ndarray]
     return [np.unique(hashes[cut[i] : cut[i + 1]]) for i in range(len(offs) - 1)]
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that an idle worker holds none."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def rows(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Blocks of a batch: first row, last row + 1, the bytes and the row offsets in them."""
     data, offs = as_bytes(batch.column(column))
     for lo, hi in blocks(offs, limit):
         yield lo, hi, data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
+    give_back()
