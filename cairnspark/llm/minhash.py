@@ -12,8 +12,9 @@ ids of its band buckets.  Classes at least half similar to those form
 clusters; where links have not joined a whole cluster, all its pairs are
 compared inside tasks, in blocks of bounded rows and shingles, which emit
 spanning edges and no pairs.
-Pairs of a bucket across clusters are compared unless the triangle inequality
-rules them out.  No cap on buckets or partners.
+Buckets that clusters share are compared as well: those of up to ``few``
+classes by pairs, unless the triangle inequality rules a pair out, larger ones
+inside tasks, in blocks, like clusters.  No cap on buckets or partners.
 
 Edge cases: a null or empty text, or one without words, has no shingles and
 links with nothing; fewer words than a shingle count as one whole sequence;
@@ -36,6 +37,7 @@ SLOTS, BANDS = 160, 32
 SHINGLE, SIMILAR = 5, 80
 GROUP = 1 << 16
 BLOCK, BLOCK_SHINGLES = 1000, 2_000_000
+FEW = 32
 _U = np.uint64
 
 
@@ -217,7 +219,7 @@ def _link_groups(k: int, similar: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR, slots: int = SLOTS, bands: int = BANDS, seed: int = 1, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR, slots: int = SLOTS, bands: int = BANDS, seed: int = 1, block: int = BLOCK, few: int = FEW) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of ``docs(doc_id, text)``.
 
     Links are pairs with 100 * intersection >= ``similar`` * union of their
@@ -254,13 +256,18 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR, s
     at = cluster.join(comp, "node", "left").select("node", "cluster", F.coalesce("root", "node").alias("comp"))
     at = at.union(cluster.select(F.col("cluster").alias("node"), "cluster").distinct().join(comp, "node", "left").select("node", "cluster", F.coalesce("root", "node")))
     at = work.cut(at, "members")
-    sized = at.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node")
-    torn = sized.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    torn = torn.select("cluster", F.ceil(F.greatest(F.col("size") / block, F.col("n") / BLOCK_SHINGLES)).alias("blocks"))
-    dealt = at.join(torn, "cluster").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select(F.col("node").alias("rep"), F.xxhash64("cluster", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
-    groups = dealt.join(cand, F.col("doc_id") == F.col("rep")).select("key", "rep", "text").repartition("key").sortWithinPartitions("key")
-    inner = work.cut(groups.mapInArrow(_link_groups(k, similar), "a long, b long"), "inner")
+    sized = at.join(classes.select(F.col("rep").alias("node"), F.col("n_shingles").alias("n")), "node")
+    torn = sized.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("n").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+
+    def inside(members: DataFrame, sizes: DataFrame) -> DataFrame:
+        """Edges that span the links within each group of ``members(node, cluster)``, in blocks: each meets itself and each other one of its group."""
+        dealt = members.join(sizes.select("cluster", F.ceil(F.greatest(F.col("size") / block, F.col("n") / BLOCK_SHINGLES)).alias("blocks")), "cluster")
+        dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+        dealt = dealt.select(F.col("node").alias("rep"), F.xxhash64("cluster", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
+        groups = dealt.join(cand, F.col("doc_id") == F.col("rep")).select("key", "rep", "text").repartition("key").sortWithinPartitions("key")
+        return groups.mapInArrow(_link_groups(k, similar), "a long, b long")
+
+    inner = work.cut(inside(at.select("node", "cluster"), torn), "inner")
     # 3. pairs of a bucket across clusters; Jaccard distance is a metric, so the distances to the bucket's lead rule most out
     of = at.select(F.col("node").alias("rep"), "cluster")
     known = sim.select(F.col("a").alias("lead"), F.col("b").alias("rep"), (1 - F.col("both") / F.col("either")).alias("far"))
@@ -268,12 +275,15 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR, s
     mixed = spread.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo <> hi").select("key")
     rest = spread.join(mixed, "key", "left_semi").join(known, ["lead", "rep"], "left").select("key", "rep", "n", "cluster", F.when(F.col("rep") == F.col("lead"), 0.0).otherwise(F.col("far")).alias("far"))
     rest = work.cut(rest, "rest")
-    x, y = rest, rest.toDF("key", "rep2", "n2", "cluster2", "far2")
+    crowds = work.cut(rest.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("n")).where(F.col("size") > few).withColumnRenamed("key", "cluster"), "crowds")
+    crowded = work.cut(inside(rest.select(F.col("rep").alias("node"), F.col("key").alias("cluster")), crowds), "crowded")
+    x = rest.join(crowds.select(F.col("cluster").alias("key")), "key", "left_anti")
+    y = x.toDF("key", "rep2", "n2", "cluster2", "far2")
     apart = x.join(y, "key").where("rep < rep2 and cluster <> cluster2").where(100 * F.least("n", "n2") >= similar * F.greatest("n", "n2"))
     apart = apart.where(F.coalesce(F.abs(F.col("far") - F.col("far2")) <= F.lit((100 - similar) / 100 + 1e-9), F.lit(True)))
     fresh = work.cut(apart.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "fresh")
     outer = measured(fresh).where(link).select("a", "b")
-    comp = work.cut(components(sim.where(link).select("a", "b").union(inner).union(outer)), "comp")
+    comp = work.cut(components(sim.where(link).select("a", "b").union(inner).union(crowded).union(outer)), "comp")
     named = work.cut(classes.join(comp, F.col("rep") == F.col("node"), "left").select("f1", "f2", "smallest", F.coalesce("root", "rep").alias("root")), "named")
     least = named.groupBy(F.col("root").alias("r")).agg(F.min("smallest").alias("component"))
     named = named.join(least, F.col("root") == F.col("r")).select("f1", "f2", "component")

@@ -52,8 +52,8 @@ def test_minhash_equals_brute_force(spark, k):
     sets = {i: shingles(t, k) for i, t in rows}
     links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     want = groups(list(sets), links)
-    for block in (1500, 10):
-        got = {r.doc_id: r for r in minhash.near_duplicates(df, k=k, block=block).collect()}
+    for block, few in ((1500, 32), (10, 2)):
+        got = {r.doc_id: r for r in minhash.near_duplicates(df, k=k, block=block, few=few).collect()}
         assert {i: r.component_id for i, r in got.items()} == want
         assert {i: r.n_shingles for i, r in got.items()} == {i: len(s) for i, s in sets.items()}
         assert all(r.kept == (i == r.component_id) for i, r in got.items())
