@@ -1,47 +1,48 @@
-"""A synthetic survey site by integer formulas: ground, lake, road, building, trees (94,117 points)."""
+"""A made-up site for whole builds: terraces, a dome, a solid deck on posts and a mast; and a counter that needs no engine."""
+
+import itertools
+import math
 
 import numpy as np
 
 EAST, NORTH, EPSG = 500000.0, 7500000.0, 31983
+NX, NY = 130, 110
 
 
-def ground(i, j):
-    z = 760000 + 50 * i + 30 * j + 120 * (np.abs(i % 60 - 30) + np.abs(j % 70 - 35)) + np.where((i >= 180) & (j < 100), 3000, 0)
-    return np.where((i - 60) ** 2 + (j - 210) ** 2 <= 625, 765000, z)
+def columns():
+    """(east cell, north cell, height cells, colour) of each part of the site."""
+    for i, j in itertools.product(range(NX), range(NY)):
+        terrace = 1 + 3 * ((i // 13 + j // 11) % 5)
+        reach = 400 - (i - 90) ** 2 - (j - 60) ** 2
+        top = max(terrace, 2 + math.isqrt(reach)) if reach > 0 else terrace
+        yield i, j, [top], (60 + 9 * top, 200 - 4 * top, 40 + (i ^ j) % 64)
+    for i, j in itertools.product(range(40, 70), range(20, 34)):
+        yield i, j, range(30, 34), (150, 150, 30 + 2 * (i - 40))
+    for i, j in ((40, 20), (69, 20), (40, 33), (69, 33)):
+        yield i, j, range(16, 30), (90, 90, 90)
+    yield 20, 100, range(14, 45), (250, 10, 10)
 
 
 def points():
-    """Integer millimetres [n, 3] from (EAST, NORTH, 0) and 16-bit colours [n, 3]."""
-    out = []
-
-    def add(i, j, z, rgb):
-        i, j = np.ravel(i).astype(int), np.ravel(j).astype(int)
-        x, y = i * 1000 + 100 + (7 * i + 13 * j) % 9 * 100, j * 1000 + 100 + (11 * i + 5 * j) % 9 * 100
-        out.append(np.column_stack([x, y, np.broadcast_to(z, i.shape), np.broadcast_to(rgb, (len(i), 3))]))
-
-    i, j = (a.ravel() for a in np.mgrid[0:300, 0:280])
-    free = ~((i >= 200) & (i < 230) & (j >= 150) & (j < 170))
-    rgb = np.column_stack([90 + i % 20, 140 + j % 15, 60 + (i + j) % 10])
-    rgb[(j >= 120) & (j < 124)] = 128
-    rgb[(i - 60) ** 2 + (j - 210) ** 2 <= 625] = (30, 80, 160)
-    add(i[free], j[free], ground(i[free], j[free]), rgb[free])
-    bi, bj = (a.ravel() for a in np.mgrid[200:230, 150:170])
-    add(bi, bj, int(ground(200, 150)) + 12000, (200, 40, 40))
-    wall = (bi == 200) | (bi == 229) | (bj == 150) | (bj == 169)
-    for k in range(12):
-        add(bi[wall], bj[wall], ground(bi[wall], bj[wall]) + 1000 * k, (180, 180, 170))
-    di, dj = (a.ravel() for a in np.mgrid[-4:5, -4:5])
-    near = di**2 + dj**2 <= 16
-    di, dj = di[near], dj[near]
-    trees = [(a, b) for a in range(20, 290, 25) for b in range(15, 140, 25)]
-    for n, (ti, tj) in enumerate(trees):
-        ci, cj = ti + di, tj + dj
-        top = ground(ci, cj) + 14000 + n % 5 * 1000 - (di**2 + dj**2) * 400
-        leaf = np.column_stack([40 + (ci + n) % 30, 110 + cj * 3 % 40, np.full(len(ci), 40 + n % 20)])
-        for drop in (0, 2000, 6000):
-            add(ci, cj, top - drop, leaf)
-        trunk = np.arange(0, 8000, 500)
-        add(np.full(16, ti), np.full(16, tj), int(ground(ti, tj)) + trunk, (100, 70, 40))
-    a = np.concatenate(out)
+    """Integer millimetres [n, 3] from (EAST, NORTH, 0) and 16-bit colours [n, 3]; one stake fixes the corner of the grid."""
+    rows = [(100, 1000 * (NY - 1) + 900, 100, 0, 0, 0)]
+    for i, j, heights, rgb in columns():
+        for k in heights:
+            for n in range(1 + (i + j + k) % 3):
+                rows.append((1000 * i + 350 + 90 * n, 1000 * j + 620 - 80 * n, 1000 * k + 400 + 60 * n, *rgb))
+    a = np.array(rows)
     return a[:, :3], a[:, 3:] * 256
 
+
+def count(brick):
+    """Grid, voxels and, from the coarsest level on, (tiles, drawn cubes, faces) by sets of cells."""
+    cells = {(0, 0, 0)} | {(i, k, NY - 1 - j) for i, j, heights, _ in columns() for k in heights}
+    dims = tuple(max(c[a] for c in cells) + 1 for a in range(3))
+    voxels, levels = len(cells), []
+    while True:
+        open_sides = {(x, y, z): sum((x + a, y + b, z + c) not in cells for a, b, c in ((1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1))) for x, y, z in cells}
+        drawn = {c: n for c, n in open_sides.items() if n}
+        levels.insert(0, (len({(x // brick, z // brick) for x, _, z in drawn}), len(drawn), sum(drawn.values())))
+        if max(-(-d // 2 ** (len(levels) - 1)) for d in (dims[0], dims[2])) <= brick:
+            return dims, voxels, levels
+        cells = {(x // 2, y // 2, z // 2) for x, y, z in cells}

@@ -16,6 +16,7 @@ from cairnspark.sources import geotiff, las, outdir
 _spec = importlib.util.spec_from_file_location("survey_site", os.path.join(os.path.dirname(__file__), "site.py"))
 site = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(site)
+BRICK = 32
 
 
 @pytest.fixture(scope="module")
@@ -28,20 +29,21 @@ def cloud(spark, tmp_path_factory):
 
 
 def landcover():
-    i, j = np.indices((150, 145))
-    v = np.where((i + j) % 7 == 0, 0, np.where(i % 5 == 0, 1, np.where(j > 80, 3, 4))).astype(np.uint8)
-    v[20:30, 100:110] = 255
-    return geotiff.Raster(v, Affine(2.0, site.EAST, -2.0, site.NORTH + 300, 145, 150), site.EPSG, 255, {0: (0, 90, 200), 1: (220, 50, 50), 3: (20, 120, 40), 4: (150, 200, 90)})
+    i, j = np.indices((55, 60))
+    v = np.where((i + j) % 7 == 0, 0, np.where(i % 5 == 0, 1, np.where(j > 30, 3, 4))).astype(np.uint8)
+    v[20:30, 40:50] = 255
+    return geotiff.Raster(v, Affine(2.0, site.EAST, -2.0, site.NORTH + 110, 60, 55), site.EPSG, 255, {0: (0, 90, 200), 1: (220, 50, 50), 3: (20, 120, 40), 4: (150, 200, 90)})
 
 
 def test_baked_tileset(spark, cloud, tmp_path):
     out = str(tmp_path / "t")
-    r = build.build(cloud[1], out, BuildConfig(epsg=las.read_header(cloud[0])["epsg"], generator="abcdef"))
-    assert r["points"] == 94117 and r["grid_dims"] == [300, 38, 280] and r["voxel_count"] == 93614
-    assert {k: r["totals"][k] for k in ("tiles", "cubes", "triangles", "bytes")} == {"tiles": 39, "cubes": 130410, "triangles": 672488, "bytes": 56528944}
-    assert [(x["tiles"], x["cubes"], x["triangles"]) for x in r["per_level"]] == [(1, 1924, 8232), (4, 7311, 31556), (9, 27564, 125960), (25, 93611, 506740)]
+    r = build.build(cloud[1], out, BuildConfig(epsg=las.read_header(cloud[0])["epsg"], brick=BRICK))
+    dims, voxels, levels = site.count(BRICK)
+    assert r["points"] == len(site.points()[0]) and r["grid_dims"] == list(dims) and r["voxel_count"] == voxels
+    assert [(x["tiles"], x["cubes"], x["triangles"]) for x in r["per_level"]] == [(t, c, 2 * f) for t, c, f in levels]
+    assert len(levels) > 2 and levels[-1][1] < voxels  # the deck has cells inside
     assert r["placement_residual"]["max_horizontal_m"] < 0.01 and r["placement_residual"]["max_vertical_m"] < 0.01
-    assert r["origin_lonlat"][:2] == pytest.approx([-44.999999027, -22.604326410], abs=1e-8)
+    assert r["origin_lonlat"][0] == pytest.approx(-44.999999027, abs=1e-8) and -22.606 < r["origin_lonlat"][1] < -22.604
     assert [row.ok for row in build.verify(spark, out).select("ok").distinct().collect()] == [True]
     with pytest.raises(FileExistsError):
         build.build(cloud[1], out)
@@ -52,12 +54,13 @@ def test_baked_tileset(spark, cloud, tmp_path):
 
 
 def test_instanced_gzip_and_properties(spark, cloud, tmp_path):
-    r = build.build(cloud[1], str(tmp_path / "i"), BuildConfig(mode="instanced", gzip_only=True))
-    assert r["totals"]["tiles"] == 39 and r["totals"]["triangles"] == 1564920
+    r = build.build(cloud[1], str(tmp_path / "i"), BuildConfig(mode="instanced", gzip_only=True, brick=BRICK))
+    cubes = sum(c for _, c, _ in site.count(BRICK)[2])
+    assert r["totals"]["cubes"] == cubes and r["totals"]["triangles"] == 12 * cubes
     assert all(n.endswith(".gz") for n in os.listdir(tmp_path / "i" / "content"))
     assert build.verify(spark, str(tmp_path / "i")).where("not ok").count() == 0
-    p = build.build(cloud[1], str(tmp_path / "p"), BuildConfig(epsg=site.EPSG), {"Cover": landcover()})
-    assert sum(p["properties"]["Cover"]["classes"].values()) == 130410 and p["properties"]["Cover"]["outside"] > 0
+    p = build.build(cloud[1], str(tmp_path / "p"), BuildConfig(epsg=site.EPSG, brick=BRICK), {"Cover": landcover()})
+    assert sum(p["properties"]["Cover"]["classes"].values()) == cubes and p["properties"]["Cover"]["outside"] > 0
     blob = (tmp_path / "p" / "content" / "L0_0_0.glb").read_bytes()
     assert all(ok for _, ok in glb.checks(blob))
     assert glb.unpack(blob)[0]["extensionsUsed"] == ["EXT_mesh_features", "EXT_structural_metadata"]
@@ -65,7 +68,7 @@ def test_instanced_gzip_and_properties(spark, cloud, tmp_path):
 
 def test_las_header_crs_and_restore(cloud, tmp_path):
     h = las.describe(cloud[0])
-    assert h["count"] == 94117 and h["epsg"] == 31983 and h["mins"][0] == 500000.1 and h["density"] > 1
+    assert h["count"] == len(site.points()[0]) and h["epsg"] == 31983 and h["mins"][0] == 500000.1 and h["density"] > 1
     path = str(tmp_path / "a.las")
     xyz, rgb = site.points()
     las.write_las(path, xyz[:10], rgb[:10], (0.001,) * 3, (0.0,) * 3)
@@ -97,7 +100,7 @@ def test_fill_and_sampling():
     filled, ring = properties.fill(v, v != 9, True)
     assert filled.tolist() == [[1, 1, 4], [1, 4, 4], [4, 4, 4]] and ring.max() == 2
     p = properties.prepare("c", landcover())
-    got, counters = properties.sample(p, np.array([site.EAST + 1.0, site.EAST + 1e6]), np.array([site.NORTH + 299.0, 0.0]), 8.0, site.EPSG)
+    got, counters = properties.sample(p, np.array([site.EAST + 1.0, site.EAST + 1e6]), np.array([site.NORTH + 109.0, 0.0]), 8.0, site.EPSG)
     assert got[0] in (0, 1, 3, 4) and counters["outside"] == 1
     with pytest.raises(ValueError):
         properties.load_config({"properties": [{"name": "a", "what": 1}]})
@@ -106,6 +109,37 @@ def test_fill_and_sampling():
             properties.check_names([{"name": bad}])
 
 
+def test_property_rules_and_rounding():
+    bad = [{"name": "a"}, {"name": "a"}, {"name": "b", "kind": "odd"}, {"name": "c", "nodata": "zero"}, {"name": "9x"}]
+    with pytest.raises(ValueError) as e:
+        properties.check_names(bad)
+    assert all(part in str(e.value) for part in ("same name", "kind is unknown", "nearest", "no digit"))
+    r = geotiff.Raster(np.array([[0, 255], [255, 255]], np.uint8), Affine(1.0, 0.0, -1.0, 2.0, 2, 2), site.EPSG)
+    p = properties.prepare("v", r, "continuous")
+    p.filled = np.array([[-3.0, 300.0], [254.6, 1.2]])  # outside the stored type's range
+    got, _ = properties.sample(p, np.array([0.5, 1.5, 0.5, 1.5]), np.array([1.5, 1.5, 0.5, 0.5]), 0.1, site.EPSG)
+    assert got.dtype == np.uint8 and got.tolist() == [0, 255, 255, 1]
+
+
+def test_tile_bytes_are_laid_out_by_rule():
+    centers, rgb = np.array([[0.5, 0.5, 0.5], [2.5, 0.5, 0.5], [2.5, 0.5, 4.5]]), np.array([[10, 20, 30], [200, 100, 50], [205, 110, 60]], np.uint8)
+    blob, stats = glb.baked(centers, rgb, np.ones((3, 6), bool), 1.0, properties=[("FeatureID", np.arange(3, dtype=np.int32), "INT32"), ("Kind", np.array([1, 2, 3], np.uint8), "UINT8")])
+    doc, binary = glb.unpack(blob)
+    assert stats == {"cubes": 3, "triangles": 36} and all(ok for _, ok in glb.checks(blob))
+    end = 0
+    for v, align in zip(doc["bufferViews"], (4, 4, 4, 4, 4, 8, 8), strict=True):
+        assert v["byteOffset"] == -(-end // align) * align
+        end = v["byteOffset"] + v["byteLength"]
+    assert doc["buffers"] == [{"byteLength": end}] and len(binary) == -(-end // 4) * 4
+    ids = doc["bufferViews"][5]
+    assert np.frombuffer(binary, "<i4", 3, ids["byteOffset"]).tolist() == [0, 1, 2] and binary[doc["bufferViews"][6]["byteOffset"] :][:3] == b"\1\2\3"
+    blob, stats = glb.instanced(centers, rgb, 1.0)
+    doc, binary = glb.unpack(blob)
+    assert stats["palette_entries"] == 2 and len(doc["nodes"]) == 2 and all(ok for _, ok in glb.checks(blob))
+    assert sorted(doc["accessors"][n["extensions"]["EXT_mesh_gpu_instancing"]["attributes"]["TRANSLATION"]]["count"] for n in doc["nodes"]) == [1, 2]
+    assert glb.bounds(blob) == ([0.0, 0.0, 0.0], [3.0, 1.0, 5.0])
+
+
 def test_coordinates():
     e, n = np.array([500100.5, 650000.0]), np.array([7500280.1, 7000000.0])
     x, y, z = crs.transform(31983, 4978, e, n, np.array([762.55, 0.0]))
