@@ -296,3 +296,17 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR, s
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=2)
+
+
+#: All pairs of documents that share a shingle, then everything that links reach.
+OP6_SQL = f"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT rid, doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+e AS (SELECT rid, len(s) AS n, unnest(s) AS x FROM s),
+p AS (SELECT a.rid AS a, b.rid AS b FROM e a JOIN e b ON a.x = b.x AND a.rid < b.rid AND 100 * least(a.n, b.n) >= {SIMILAR} * greatest(a.n, b.n)
+  GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= {SIMILAR} * (a.n + b.n - count(*))),
+u AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT rid AS a, rid AS b FROM s UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
+c AS (SELECT r.a AS rid, min(s.doc_id) AS component_id FROM r JOIN s ON s.rid = r.b GROUP BY r.a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (rid)
+"""

@@ -17,6 +17,8 @@ QUERIES = {
 
 ORACLES = {
     "op3_license_scan": licenses.OP3_SQL,
+    "op6_minhash": minhash.OP6_SQL,
     "op7_warc": warc.OP7_SQL,
+    "op8_embedding_dedup": vectors.OP8_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
 }

@@ -239,3 +239,16 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, seed: int = 11,
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: All pairs of a label, then everything that links reach.
+OP8_SQL = f"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+p AS (SELECT a.rid AS a, b.rid AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.rid < b.rid AND list_cosine_similarity(a.e, b.e) >= {COSINE}),
+u AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT rid AS a, rid AS b FROM v UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
+c AS (SELECT r.a AS rid, min(v.vec_id) AS component_id FROM r JOIN v ON v.rid = r.b GROUP BY r.a),
+n AS (SELECT a AS rid, count(*) AS n FROM u GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c USING (rid) LEFT JOIN n USING (rid)
+"""

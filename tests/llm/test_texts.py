@@ -35,7 +35,7 @@ TEXTS = "doc_id long, text string, leaf string, gone string, w int"
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
-    table = "pages" if "warc" in name else "documents"
+    table = "pages" if "warc" in name else "embeddings" if "embedding" in name else "documents"
     same_as_sql(QUERIES[name](spark, SF), ORACLES[name], **{table: f"{SF}/{table}.parquet"})
 
 
