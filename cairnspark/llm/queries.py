@@ -16,6 +16,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_suffix_dedup": suffixes.OP2_SQL,
     "op3_license_scan": licenses.OP3_SQL,
     "op6_minhash": minhash.OP6_SQL,
     "op7_warc": warc.OP7_SQL,

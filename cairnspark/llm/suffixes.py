@@ -373,3 +373,18 @@ def dedup(docs: DataFrame, span: int = SPAN, **options) -> DataFrame:
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Every window of every text as hexadecimal digits, counted; then runs of covered bytes.
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, i, substr(h, 2 * i + 1, {2 * SPAN}) AS s FROM (SELECT rid, h, unnest(range(length(h) // 2 - {SPAN - 1})) AS i FROM d WHERE length(h) >= {2 * SPAN})),
+t AS (SELECT s FROM w GROUP BY s HAVING count(*) > 1),
+x AS (SELECT rid, i FROM w SEMI JOIN t USING (s)),
+g AS (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS g FROM (SELECT rid, i, CASE WHEN i <= lag(i) OVER (PARTITION BY rid ORDER BY i) + {SPAN} THEN 0 ELSE 1 END AS fresh FROM x)),
+r AS (SELECT rid, min(i) AS a, max(i) + {SPAN} AS b FROM g GROUP BY rid, g),
+k AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS z FROM r),
+y AS (SELECT rid, sum(b - a) AS gone, count(*) AS spans, max(b) AS z, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS kept FROM k JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN gone IS NULL THEN h ELSE kept || substr(h, 2 * z + 1) END)) AS kept_sha256 FROM d LEFT JOIN y USING (rid)
+"""
