@@ -187,13 +187,13 @@ def quadtree_check(spark, sf_dir):
     return T.tree_checks(_tiles(spark, sf_dir), DEPTH)
 
 
-@query(C.sql([*C.TILES_SQL], f"""SELECT level, tx, tz, CASE WHEN level = {DEPTH} THEN 0 ELSE cell_size END AS geometric_error, CASE WHEN cubes > 65536 THEN 'FLOAT' ELSE 'UNSIGNED_SHORT' END AS id_type,
+@query(C.sql([*C.TILES_SQL], f"""SELECT level, tx, tz, CASE WHEN level = {DEPTH} THEN 0 ELSE cell_size END AS geometric_error, 'FLOAT' AS id_type,
   'content/L' || level || '_' || tx || '_' || tz || '.glb' AS uri FROM ti"""))
 def tile_nodes(spark, sf_dir):
-    """Errors, feature id types and content names."""
+    """Errors, feature id types (float in all files that are not compressed) and content names."""
     t = _tiles(spark, sf_dir)
     return t.select("level", "tx", "tz", F.when(F.col("level") == DEPTH, 0.0).otherwise(F.col("cell_size")).alias("geometric_error"),
-                    F.when(F.col("cubes") > 65536, "FLOAT").otherwise("UNSIGNED_SHORT").alias("id_type"), F.format_string("content/L%d_%d_%d.glb", "level", "tx", "tz").alias("uri"))
+                    F.lit("FLOAT").alias("id_type"), F.format_string("content/L%d_%d_%d.glb", "level", "tx", "tz").alias("uri"))
 
 
 _IDS = "fi AS (SELECT depth, tx, tz, gx, gy, gz, row_number() OVER (PARTITION BY depth, tx, tz ORDER BY gx, gy, gz) - 1 AS row_in_tile, row_number() OVER (ORDER BY depth, tx, tz, gx, gy, gz) - 1 AS feature_id FROM fa WHERE nf > 0)"
@@ -510,13 +510,16 @@ def lattice(spark, sf_dir):
 
 @query(C.sql([*C.TILES_SQL], f"SELECT level, tx, tz, tx >> level AS root_x, tz >> level AS root_z, level AS steps FROM ti"))
 def tree_walk(spark, sf_dir):
-    """Root and depth of each tile, by a recursive walk up."""
+    """Root and depth of each tile, by a walk over parent rows: a level of the tree for each join."""
     t = _tiles(spark, sf_dir).select("level", "tx", "tz")
-    up = t.select("*", F.col("tx").alias("root_x"), F.col("tz").alias("root_z"), F.lit(0).alias("steps"))
+    up = t.select("*", F.col("level").alias("at"), F.col("tx").alias("root_x"), F.col("tz").alias("root_z"), F.lit(0).alias("steps"))
+    parent = t.select(F.col("level").alias("pl"), F.col("tx").alias("px"), F.col("tz").alias("pz"))
     for _ in range(DEPTH):
-        more = F.col("steps") < F.col("level")
-        up = up.select("level", "tx", "tz", *[F.when(more, F.shiftright(c, 1)).otherwise(F.col(c)).alias(c) for c in ("root_x", "root_z")], F.when(more, F.col("steps") + 1).otherwise(F.col("steps")).alias("steps"))
-    return up
+        on = (F.col("pl") == F.col("at") - 1) & (F.col("px") == F.shiftright("root_x", 1)) & (F.col("pz") == F.shiftright("root_z", 1))
+        up = up.join(parent, on, "left").select(
+            "level", "tx", "tz", F.coalesce("pl", "at").alias("at"), F.coalesce("px", "root_x").alias("root_x"), F.coalesce("pz", "root_z").alias("root_z"), (F.col("steps") + F.col("pl").isNotNull().cast("int")).alias("steps")
+        )
+    return up.drop("at")
 
 
 def _encoded(spark, sf_dir, mode):
