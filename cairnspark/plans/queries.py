@@ -124,7 +124,7 @@ UNION ALL SELECT tx, tz - 1, false, gx, gy, gz FROM t WHERE gz % {C.BRICK} = 0 A
 UNION ALL SELECT tx, tz + 1, false, gx, gy, gz FROM t WHERE gz % {C.BRICK} = {C.BRICK - 1}"""))
 def apron_cells(spark, sf_dir):
     """Own and bordering cells of each tile."""
-    return V.apron(_cells(spark, sf_dir)[0], C.BRICK)
+    return V.apron(_cells(spark, sf_dir)[0], C.BRICK).select("tx", "tz", "own", *INDEX)
 
 
 _STATS = "count(*) AS cells, sum((nf > 0)::INT)::BIGINT AS drawn, count(DISTINCT CASE WHEN nf > 0 THEN depth * 1000000 + tx * 1000 + tz END) AS tiles, (sum(nf) * 2)::BIGINT AS triangles, round(sum((nf > 0)::INT) * 100.0::DOUBLE / count(*), 6) AS drawn_pct"
@@ -234,10 +234,10 @@ _CORNERS = ", ".join(
 
 
 @query(C.sql([*C.FACES_SQL, _QUADS, f"co(face, corner, d0, d1, d2, n0, n1, n2) AS (VALUES {_CORNERS})"],
-  "SELECT depth, gx, gy, gz, face, corner, 2 * gx + 1 + d0 AS hx, 2 * gy + 1 + d1 AS hy, 2 * gz + 1 + d2 AS hz, n0, n1, n2 FROM qu JOIN co USING (face) WHERE depth = 2"))
+  "SELECT depth, gx, gy, gz, face, corner, 2 * gx + 1 + d0 AS hx, 2 * gy + 1 + d1 AS hy, 2 * gz + 1 + d2 AS hz, n0, n1, n2 FROM qu JOIN co USING (face)"))
 def quad_vertices(spark, sf_dir):
-    """Corners of faces in half cells (coarsest level)."""
-    return T.vertices(T.quads(_pyramid(spark, sf_dir)[0].where("depth = 2")))
+    """Corners of all faces in half cells."""
+    return T.vertices(T.quads(_pyramid(spark, sf_dir)[0]))
 
 
 _KEY = "((r >> 6) << 4) | ((g >> 6) << 2) | (b >> 6)"
