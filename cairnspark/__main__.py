@@ -11,7 +11,7 @@ from cairnspark import __version__
 from cairnspark.functions import crs
 from cairnspark.operators.properties import check_names, load_config
 from cairnspark.schema import BuildConfig
-from cairnspark.sources import geotiff, las
+from cairnspark.sources import geotiff, las, outdir
 
 
 def parse(argv: list[str]) -> argparse.Namespace:
@@ -88,13 +88,19 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             if a.epsg and a.epsg != declared and not a.quiet:
                 print(f"The file declares EPSG:{declared}; --epsg is ignored.")
             a.config.epsg = declared
+        if not outdir.confirm(a.output, a.overwrite, input if sys.stdin and sys.stdin.isatty() else None):
+            outdir.clear(a.output, False)  # says why it refuses
         spark = spark or SparkSession.builder.appName("cairnspark").getOrCreate()
         las.register(spark)
         rasters = {}
         for s in a.specs:
             with open(s["file"], "rb") as f:
                 rasters[s["name"]] = geotiff.read(f.read(), s.get("band", 1))
-        report = build(spark.read.format("las").load(a.input), a.output, a.config, rasters)
+        kept = open(a.properties, "rb").read() if a.properties else None  # it may lie in the output folder
+        a.config.overwrite = True
+        report = build(spark.read.format("las").load(a.input), a.output, a.config, rasters, say=None if a.quiet else print)
+        if kept is not None:
+            outdir.write_file(os.path.join(a.output, "properties.config.json"), kept, False, True)
         if not a.quiet:
             for x in report["per_level"]:
                 print(f"level {x['level']}: cell {x['cell_size']:g}, tiles {x['tiles']}, cubes {x['cubes']:,}, triangles {x['triangles']:,}, bytes {x['bytes']:,}")

@@ -30,6 +30,17 @@ def utm(epsg: int) -> tuple[int, bool, tuple[float, float], str]:
     raise ValueError(f"EPSG:{epsg} is not supported; UTM codes on GRS80 or WGS84 are")
 
 
+def codes() -> list[int]:
+    """All supported projected codes."""
+    return [e for first, last in ((25828, 25838), (26901, 26923), (31965, 31985), (32601, 32660), (32701, 32760)) for e in range(first, last + 1)]
+
+
+def area(epsg: int) -> tuple[float, float, float, float]:
+    """West, south, east and north of a zone's use: six degrees, 84 N or 80 S to the equator."""
+    zone, south, *_ = utm(epsg)
+    return zone * 6 - 186.0, -80.0 if south else 0.0, zone * 6 - 180.0, 0.0 if south else 84.0
+
+
 @cache
 def _series(ellipsoid: tuple[float, float]):
     a, f = ellipsoid
@@ -160,3 +171,61 @@ def zones_near(east: float, north: float, lon: float, lat: float, tolerance_km:
             if km <= tolerance_km:
                 out.append({"epsg": epsg, "lon": float(x), "lat": float(y), "km": km})
     return sorted(out, key=lambda r: r["km"])
+
+
+def search(east: float, north: float, lon: float, lat: float, tolerance_km: float = 60.0) -> list[dict]:
+    """Supported systems whose area of use holds a hint and which put it within a distance of (east, north), nearest first."""
+    out = []
+    for epsg in codes():
+        west, south, east_edge, north_edge = area(epsg)
+        if west <= lon <= east_edge and south <= lat <= north_edge:
+            x, y = (float(a[0]) for a in to_utm(epsg, lon, lat))
+            km = float(np.hypot(x - east, y - north)) / 1000
+            if km <= tolerance_km:
+                out.append({"epsg": epsg, "name": utm(epsg)[3], "km": km})
+    return sorted(out, key=lambda r: (r["km"], r["epsg"]))
+
+
+def zones_of(east: float, north: float) -> list[dict]:
+    """WGS 84 zones that read (east, north) as a place inside themselves."""
+    out = []
+    for epsg in codes():
+        if epsg >= 32601:
+            lon, lat = (float(a) for a in from_utm(epsg, east, north))
+            west, south, east_edge, north_edge = area(epsg)
+            if west <= lon <= east_edge and south <= lat <= north_edge:
+                out.append({"epsg": epsg, "lon": lon, "lat": lat})
+    return out
+
+
+def family(lows, highs) -> list[str]:
+    """What a box of coordinates may be, with the distance from a central meridian and a hint at feet."""
+    (x0, y0, z0), (x1, y1, z1) = lows, highs
+    if -180 <= x0 and x1 <= 180 and -90 <= y0 and y1 <= 90:
+        return ["degrees"]
+    tm = 100_000 <= x0 and x1 <= 1_000_000
+    flat = max(x1 - x0, 1e-9)
+    notes = [
+        (abs(x0) <= 20_037_509 and abs(y0) <= 20_048_967 and max(abs(x1), abs(y1)) > 1_000_000, "web mercator"),
+        (tm, "transverse mercator easting"),
+        (tm, f"centre {(0.5 * (x0 + x1) - FALSE_EAST) / 1000:+.1f} km from a central meridian"),
+        (0 <= y0 and y1 <= 10_000_000, "utm northing"),
+        (True, f"extent {x1 - x0:,.0f} x {y1 - y0:,.0f} x {z1 - z0:,.0f}, " + ("metres" if z1 - z0 < 9000 else "check units")),
+        (z1 > z0 and 2.5 < 1000 * (z1 - z0) / flat < 4.0, "a ratio of 3.28 would hint at feet"),
+    ]
+    return [text for holds, text in notes if holds]
+
+
+def wkt(epsg: int) -> str:
+    """A WKT 1 text of a supported system."""
+    zone, south, (a, f), name = utm(epsg)
+    # Names and codes of the datums.
+    base = name.split(" / ")[0]
+    datum, ellipsoid, geographic = {
+        "WGS 84": ("WGS_1984", "WGS 84", 4326), "ETRS89": ("European_Terrestrial_Reference_System_1989", "GRS 1980", 4258),
+        "NAD83": ("North_American_Datum_1983", "GRS 1980", 4269), "SIRGAS 2000": ("Sistema_de_Referencia_Geocentrico_para_las_AmericaS_2000", "GRS 1980", 4674),
+    }[base]
+    values = {"latitude_of_origin": 0, "central_meridian": zone * 6 - 183, "scale_factor": K0, "false_easting": FALSE_EAST, "false_northing": FALSE_NORTH_SOUTH if south else 0}
+    parameters = "".join(f',PARAMETER["{k}",{v:.10g}]' for k, v in values.items())
+    geogcs = f'GEOGCS["{base}",DATUM["{datum}",SPHEROID["{ellipsoid}",{a:.10g},{1 / f:.12g}]],PRIMEM["Greenwich",0],UNIT["degree",0.0174532925199433],AUTHORITY["EPSG","{geographic}"]]'
+    return f'PROJCS["{name}",{geogcs},PROJECTION["Transverse_Mercator"]{parameters},UNIT["metre",1],AXIS["Easting",EAST],AXIS["Northing",NORTH],AUTHORITY["EPSG","{epsg}"]]'

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cairnspark.functions import crs, glb
 from cairnspark.operators import properties as P
@@ -18,11 +18,14 @@ from cairnspark.schema import FACES, BuildConfig, GridSpec, check_key_space, pyr
 from cairnspark.sources import outdir
 
 FLAGS = [f for f, *_ in FACES]
-TILE = "level int, tx long, tz long, cubes long, triangles long, bytes long, content binary, props string"
+TILE = (
+    "level int, tx long, tz long, cell_size double, x0 long, x1 long, z0 long, z1 long, y_min long, y_max long, "
+    "cubes long, triangles long, bytes long, content binary, props string"
+)
 
 
 def encode_tiles(ids: DataFrame, grid: GridSpec, depth: int, config: BuildConfig, props=()) -> DataFrame:
-    """One row per tile with its binary content; a tile is a group of at most brick x height x brick cells."""
+    """One row per tile with its tight bounds and binary content; a tile is a group of at most brick x height x brick cells."""
     held = ids.sparkSession.sparkContext.broadcast(list(props))
 
     def encode(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -44,7 +47,9 @@ def encode_tiles(ids: DataFrame, grid: GridSpec, depth: int, config: BuildConfig
                     codes, n = np.unique(v, return_counts=True)
                     notes[p.name] = counters | {"min": float(v.min()), "max": float(v.max()), "sum": float(v.astype(float).sum()), "classes": dict(zip(map(str, codes.tolist()), n.tolist(), strict=True)) if p.categorical else None}
             blob, stats = glb.baked(centers, rgb, pdf[FLAGS].to_numpy(), cell, config.color_bits, columns, config.generator)
-        return pd.DataFrame([(level, int(pdf["tx"].iloc[0]), int(pdf["tz"].iloc[0]), stats["cubes"], stats["triangles"], len(blob), blob, json.dumps(notes))], columns=[c.split()[0] for c in TILE.split(", ")])
+        (x0, y0, z0), (x1, y1, z1) = index.min(axis=0).tolist(), index.max(axis=0).tolist()
+        row = (level, int(pdf["tx"].iloc[0]), int(pdf["tz"].iloc[0]), cell, x0, x1 + 1, z0, z1 + 1, y0, y1, stats["cubes"], stats["triangles"], len(blob), blob, json.dumps(notes))
+        return pd.DataFrame([row], columns=[c.split()[0] for c in TILE.split(", ")])
 
     columns = ["depth", "tx", "tz", "gx", "gy", "gz", "r", "g", "b", *FLAGS, "row_in_tile", "feature_id"]
     return ids.select(*columns).groupBy("depth", "tx", "tz").applyInPandas(encode, TILE)
@@ -64,7 +69,7 @@ def write_tiles(tiles: DataFrame, out: str, config: BuildConfig) -> DataFrame:
 
 
 def node_tree(bounds: list, depth: int) -> dict:
-    """Nested tileset nodes from rows of ``tile_bounds``."""
+    """Nested tileset nodes from tiles with their bounds."""
 
     def box(t):
         cs = t.cell_size
@@ -89,100 +94,108 @@ def node_tree(bounds: list, depth: int) -> dict:
     return {"boundingVolume": {"box": [*c, h[0], 0, 0, 0, h[1], 0, 0, 0, h[2]]}, "geometricError": roots[0].cell_size * 2, "refine": "REPLACE", "children": [node(t) for t in roots]}
 
 
-def build(points: DataFrame, out: str, config: BuildConfig | None = None, rasters: dict | None = None, cut=None) -> dict:
+def build(points: DataFrame, out: str, config: BuildConfig | None = None, rasters: dict | None = None, cut=None, say=None) -> dict:
     """Build a tileset from ``points`` into the folder ``out``; returns the report.
 
     ``rasters`` maps property names to ``geotiff.Raster``.  ``cut`` may
-    materialise a level (a checkpoint on a cluster); by default levels are
-    cached.  Only the tile table, a row per tile, comes to the driver.
+    materialise a level and the drawn cells (a checkpoint on a cluster); by
+    default they are cached for the build.  Only the tile table, a row per
+    tile, comes to the driver, with bounds that the encoding tasks found.
+    ``say`` gets a line per milestone; all lines go to ``log/build.log`` too.
     """
+    began, lines, held = time.time(), [], []
+
+    def note(text):
+        lines.append(f"{time.time() - began:9.2f} s  {text}")
+        if say:
+            say(text)
+
+    def keep(df):
+        held.append(cut(df) if cut else df.persist())
+        return held[-1]
+
     config = (config or BuildConfig()).check()
     if rasters and config.mode == "instanced":
         raise ValueError("properties need baked mode")
     P.check_names([{"name": n} for n in rasters or {}])
-    rgb = {"red", "green", "blue"} <= set(points.columns) and points.where("red is not null").limit(1).count() > 0
-    grid = V.grid_spec(points if rgb else points.select("x", "y", "z"), config.voxel_size)
+    grid = V.grid_spec(points, config.voxel_size)
     check_key_space(grid.dims, config.brick)
-    props = [P.prepare(n, r) for n, r in (rasters or {}).items()]
+    ox, oy, oz = grid.origin
+    sides = [n * config.voxel_size for n in grid.dims]
+    note(f"grid {' x '.join(map(str, grid.dims))} from {grid.n_points:,} points")
+    props = []
+    for name, r in (rasters or {}).items():
+        props.append(P.prepare(name, r))
+        share = P.coverage(props[-1], (ox, oy - sides[2], ox + sides[0], oy), config.epsg)
+        if share <= 0:
+            raise ValueError(f"{name}: the raster does not overlap the points")
+        note(f"{name}: the raster covers {100 * share:.1f} % of the site")
     outdir.clear(out, config.overwrite)
     depth = (config.levels - 1) if config.levels else pyramid_depth(grid.dims, config.brick)
-    faces = V.pyramid(points, grid, depth + 1, config.brick, "rgb" if rgb else "height", cut or (lambda df: df.persist()))
-    ids = T.feature_ids(faces)
+    faces = V.pyramid(points, grid, depth + 1, config.brick, "rgb" if grid.coloured else "height", keep)
+    ids = T.feature_ids(keep(faces.where("nf > 0")))
     tiles = write_tiles(encode_tiles(ids, grid, depth, config, props), out, config).collect()
-    bounds = T.tile_bounds(faces, depth, config.voxel_size).collect()
-    voxels = faces.where("depth = 0").count()
-    root = node_tree(bounds, depth)
-    ox, oy, oz = grid.origin
+    voxels = held[0].count()
+    note(f"{voxels:,} voxels, {len(tiles):,} tiles")
+    for df in held if cut is None else []:
+        df.unpersist()
+    root = node_tree(tiles, depth)
     residual = lonlat = None
     if config.epsg:
-        nx, ny, nz = (n * config.voxel_size for n in grid.dims)
-        root["transform"], residual = crs.placement(config.epsg, grid.origin, (nx, ny, nz))
+        root["transform"], residual = crs.placement(config.epsg, grid.origin, (sides[0], sides[1], sides[2]))
         lonlat = [float(np.ravel(v)[0]) for v in crs.transform(config.epsg, 4979, np.array([ox]), np.array([oy]), np.array([oz]))]
+        note(f"placed within {residual['max_horizontal_m']:.3f} m, {residual['max_vertical_m']:.3f} m in height")
+    documents = describe(config, grid, depth, tiles, props, voxels, residual, lonlat)
     tileset = {"asset": {"version": "1.1", "tilesetVersion": config.generator, "gltfUpAxis": "Y"}}
-    notes = [json.loads(t.props) for t in tiles]
     if props:
-        tileset["properties"] = {p.name: {"minimum": min(n[p.name]["min"] for n in notes), "maximum": max(n[p.name]["max"] for n in notes)} for p in props}
+        tileset["properties"] = {n: {"minimum": p["minimum"], "maximum": p["maximum"]} for n, p in documents["specs.json"]["properties"].items()}
     tileset |= {"geometricError": config.voxel_size * 2 ** (depth + 1), "root": root}
     outdir.write_file(os.path.join(out, "tileset.json"), json.dumps(tileset, indent=2).encode(), config.gzip or config.gzip_only, not config.gzip_only)
-    levels = [
-        {"level": k, "cell_size": config.voxel_size * 2 ** (depth - k), "tiles": len(own), **{c: sum(t[c] for t in own) for c in ("cubes", "triangles", "bytes")}}
-        for k in range(depth + 1) for own in [[t for t in tiles if t.level == k]]
+    documents["report.json"]["seconds"] = round(time.time() - began, 2)
+    note("done")
+    for name, body in documents.items():
+        outdir.write_file(os.path.join(out, name), json.dumps(body, indent=2).encode(), False, True)
+    outdir.write_file(os.path.join(out, outdir.LOG), ("\n".join(lines) + "\n").encode(), False, True)
+    return documents["report.json"]
+
+
+def describe(config: BuildConfig, grid: GridSpec, depth: int, tiles: list, props: list, voxels: int, residual, lonlat) -> dict:
+    """``specs.json`` (what the tileset is) and ``report.json`` (what the build counted)."""
+    notes = [json.loads(t.props) for t in tiles]
+    sizes = [config.voxel_size * 2 ** (depth - k) for k in range(depth + 1)]
+    per_level = [
+        {"level": k, "cell_size": size, "tiles": len(own), **{c: sum(t[c] for t in own) for c in ("cubes", "triangles", "bytes")}}
+        for k, size in enumerate(sizes) for own in [[t for t in tiles if t.level == k]]
     ]
+    totals = {c: sum(x[c] for x in per_level) for c in ("tiles", "cubes", "triangles", "bytes")}
+    crs_name = crs.utm(config.epsg)[3] if config.epsg else None
+    origin = dict(zip(("easting", "northing", "height"), grid.origin, strict=True))
+    specs = {
+        "generator": config.generator,
+        "source": {"points": grid.n_points, "minimum": list(grid.mins), "maximum": list(grid.maxs)},
+        "georeference": {
+            "horizontal_epsg": config.epsg, "crs_name": crs_name, "grid_origin_world": origin, "origin_lonlat": lonlat, "voxel_size": config.voxel_size, "placement_residual": residual,
+            "placement": "root.transform takes metres east, north and up of the origin to EPSG:4978; tile content has y up" if config.epsg else "local metres, no root transform",
+        },
+        "grid": {"voxel_size": config.voxel_size, "dims": list(grid.dims), "brick": config.brick, "voxel_count": voxels, "levels": [{"level": k, "cell_size": size} for k, size in enumerate(sizes)]},
+        "encoding": {"content": "glb", "mode": config.mode, "draco": False, "color": "COLOR_0 FLOAT32 VEC3", "color_bits": config.color_bits, "exact_color": config.color_bits >= 8},
+    }
     report = {
-        "generator": config.generator, "mode": config.mode, "voxel_size": config.voxel_size, "brick": config.brick, "levels": depth + 1, "epsg": config.epsg,
-        "crs_name": crs.utm(config.epsg)[3] if config.epsg else None, "origin": [ox, oy, oz], "origin_lonlat": lonlat, "placement_residual": residual, "grid_dims": list(grid.dims), "voxel_count": voxels,
-        "points": grid.n_points, "totals": {c: sum(x[c] for x in levels) for c in ("tiles", "cubes", "triangles", "bytes")}, "per_level": levels,
-        "properties": {p.name: {"on_filled": sum(n[p.name]["on_filled"] for n in notes), "outside": sum(n[p.name]["outside"] for n in notes), "max_ring": max(n[p.name]["max_ring"] for n in notes),
-                                "classes": {k: sum(n[p.name]["classes"].get(k, 0) for n in notes) for k in sorted({k for n in notes for k in n[p.name]["classes"]}, key=int)} if p.categorical else None} for p in props},
+        "generator": config.generator, "mode": config.mode, "draco": False, "gzip": "only" if config.gzip_only else config.gzip, "color_bits": config.color_bits, "exact_color": config.color_bits >= 8,
+        "voxel_size": config.voxel_size, "brick": config.brick, "levels": depth + 1, "epsg": config.epsg, "crs_name": crs_name, "origin": list(grid.origin), "origin_lonlat": lonlat,
+        "placement_residual": residual, "grid_dims": list(grid.dims), "voxel_count": voxels, "points": grid.n_points, "content": "glb", "totals": totals, "per_level": per_level, "properties": {},
     }
-    for name in ("specs.json", "report.json"):
-        outdir.write_file(os.path.join(out, name), json.dumps(report, indent=2).encode(), False, True)
-    return report
-
-
-def verify(spark, out: str) -> DataFrame:
-    """(tile, label, ok): structure of every tile, its box, and the tree; tiles are read by tasks."""
-    zipped = os.path.exists(os.path.join(out, "tileset.json.gz")) and not os.path.exists(os.path.join(out, "tileset.json"))
-    import gzip
-
-    raw = open(os.path.join(out, "tileset.json" + ".gz" * zipped), "rb").read()
-    tileset = json.loads(gzip.decompress(raw) if zipped else raw)
-    boxes, rows = {}, []
-
-    def inside(a, b, slack):
-        return all(abs(a[i] - b[i]) + a[3 + 4 * i] <= b[3 + 4 * i] + slack for i in range(3))
-
-    def walk(n, parent):
-        uri = n.get("content", {}).get("uri")
-        kids = n.get("children", [])
-        name = uri or "root"
-        if uri:
-            boxes[uri] = n["boundingVolume"]["box"]
-        rows.append((name, "at most four children or several roots", len(kids) <= 4 or parent is None))
-        rows.append((name, "leaf error is zero", bool(kids) or n["geometricError"] == 0))
-        if parent is not None:
-            rows.append((name, "error below the parent's", n["geometricError"] < parent["geometricError"]))
-            rows.append((name, "box inside the parent's", inside(n["boundingVolume"]["box"], parent["boundingVolume"]["box"], parent["geometricError"] + 1e-6)))
-        for k in kids:
-            walk(k, n)
-
-    walk(tileset["root"], None)
-
-    def check(batches):
-        for b in batches:
-            found = []
-            for uri in b["uri"]:
-                path = os.path.join(out, uri)
-                if not os.path.exists(path) and not os.path.exists(path + ".gz"):
-                    found.append((uri, "file exists", False))
-                    continue
-                blob = open(path, "rb").read() if os.path.exists(path) else gzip.open(path + ".gz").read()
-                found += [(uri, label, bool(ok)) for label, ok in glb.checks(blob)]
-                lo, hi = glb.bounds(blob)
-                box = boxes[uri]
-                world = [(lo[0], hi[0]), (-hi[2], -lo[2]), (lo[1], hi[1])]
-                found.append((uri, "geometry inside its box", all(a >= box[i] - box[3 + 4 * i] - 1e-3 and z <= box[i] + box[3 + 4 * i] + 1e-3 for i, (a, z) in enumerate(world))))
-            yield pd.DataFrame(found, columns=["tile", "label", "ok"])
-
-    tiles = spark.createDataFrame([(u,) for u in sorted(boxes)], "uri string").repartition(max(1, len(boxes) // 16))
-    return spark.createDataFrame(rows, "tile string, label string, ok boolean").union(tiles.mapInPandas(check, "tile string, label string, ok boolean"))
+    if props:
+        specs["encoding"]["feature_id"] = "_FEATURE_ID_0 per vertex, one value a cube, as FLOAT: the cube's row in the tile's property table"
+        specs["feature_id"] = {"property": "FeatureID", "component_type": "INT32", "scope": "a number for each cube of each level, without gaps", "min": 0, "max": totals["cubes"] - 1}
+        specs["properties"] = {}
+        report["feature_ids"] = totals["cubes"]
+    for p in props:
+        own = [n[p.name] for n in notes]
+        classes = {k: sum(n["classes"].get(k, 0) for n in own) for k in sorted({k for n in own for k in n["classes"]}, key=int)} if p.categorical else None
+        kind = "categorical" if p.categorical else "continuous"
+        specs["properties"][p.name] = {"kind": kind, "component_type": p.component, "minimum": min(n["min"] for n in own), "maximum": max(n["max"] for n in own), "raster_epsg": p.epsg}
+        report["properties"][p.name] = {
+            "on_filled": sum(n["on_filled"] for n in own), "outside": sum(n["outside"] for n in own), "max_ring": max(n["max_ring"] for n in own), "mean": sum(n["sum"] for n in own) / totals["cubes"], "classes": classes
+        }
+    return {"specs.json": specs, "report.json": report}

@@ -172,6 +172,26 @@ def union_box(spark, sf_dir):
     return b.groupBy("level").agg(*[((lo[a] + hi[a]) / 2).alias(f"c{a}") for a in "enu"], *[((hi[a] - lo[a]) / 2).alias(f"h{a}") for a in "enu"])
 
 
+@query(C.sql([*C.TILES_SQL, """ro AS (SELECT max(cell_size) AS cs, min(x0) * max(cell_size) AS e0, max(x1) * max(cell_size) AS e1, -max(z1) * max(cell_size) AS n0, -min(z0) * max(cell_size) AS n1,
+  min(y_min) * max(cell_size) AS u0, (max(y_max) + 1) * max(cell_size) AS u1 FROM ti WHERE level = 0)""",
+  f"po AS (SELECT 0.0::DOUBLE AS e0, x1 - x0 AS e1, -nz * {C.VOXEL}::DOUBLE AS n0, y1 - y0 - nz * {C.VOXEL} AS n1, 0.0::DOUBLE AS u0, z1 - z0 AS u1 FROM gr)"],
+  "SELECT axis, round(below, 6) AS below, round(above, 6) AS above, below > -1e-6 AND above > -1e-6 AS holds, greatest(below, 0) + greatest(above, 0) <= cs + 1e-6 AS tight FROM ("
+  + " UNION ALL ".join(f"SELECT '{a}' AS axis, cs, po.{a}0 - ro.{a}0 AS below, ro.{a}1 - po.{a}1 AS above FROM ro, po" for a in "enu") + ")"))
+def root_extent(spark, sf_dir):
+    """How far the coarsest tiles' boxes reach beyond the points (east, north, up of the origin)."""
+    faces, g = _pyramid(spark, sf_dir)
+    b = T.boxes(T.tile_bounds(faces, DEPTH, C.VOXEL)).where("level = 0")
+    box = b.agg(*[f.alias(f"{a}{k}") for a in "enu" for k, f in ((0, F.min(F.col(f"c{a}") - F.col(f"h{a}"))), (1, F.max(F.col(f"c{a}") + F.col(f"h{a}"))))])
+    north = g.dims[2] * g.voxel_size
+    points = {"e": (0.0, g.maxs[0] - g.mins[0]), "n": (-north, g.maxs[1] - g.mins[1] - north), "u": (0.0, g.maxs[2] - g.mins[2])}
+    rows = box.select(F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), (F.lit(lo) - F.col(f"{a}0")).alias("below"), (F.col(f"{a}1") - F.lit(hi)).alias("above")) for a, (lo, hi) in points.items()])).alias("r")).select("r.*")
+    slack, cell = F.lit(1e-6), C.VOXEL * 2**DEPTH
+    return rows.select(
+        "axis", F.round("below", 6).alias("below"), F.round("above", 6).alias("above"), ((F.col("below") > -slack) & (F.col("above") > -slack)).alias("holds"),
+        (F.greatest(F.col("below"), F.lit(0.0)) + F.greatest(F.col("above"), F.lit(0.0)) <= F.lit(cell) + slack).alias("tight"),
+    )
+
+
 @query(C.sql([*C.TILES_SQL, "k AS (SELECT level - 1 AS level, tx >> 1 AS px, tz >> 1 AS pz, string_agg('L' || level || '_' || tx || '_' || tz, ',' ORDER BY tx, tz) AS children FROM ti GROUP BY 1, 2, 3)"],
   "SELECT ti.level, tx, tz, coalesce(children, '') AS children FROM ti LEFT JOIN k ON k.level = ti.level AND k.px = tx AND k.pz = tz"))
 def quadtree_children(spark, sf_dir):
@@ -582,7 +602,7 @@ def utm_zones(spark, sf_dir):
     return spark.createDataFrame([(r["epsg"], round(r["lon"], 6), round(r["lat"], 6), round(r["km"], 3)) for r in found], "epsg int, lon double, lat double, km double")
 
 
-@query()
+@query(C.sql([C.POINTS_SQL], "SELECT floor(x)::BIGINT % 10 AS strip, count(*) AS n, round(sum(z), 3) AS z, sum(red)::BIGINT AS red, (SELECT count(*) FROM p) AS declared FROM p GROUP BY 1"))
 def las_round_trip(spark, sf_dir):
     """The whole cloud written as LAS files by tasks, and read by record ranges."""
     from cairnspark.sources.las import register, write_parts

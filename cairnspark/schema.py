@@ -21,6 +21,7 @@ class GridSpec:
     maxs: tuple[float, float, float]
     n_points: int = 0
     denom: int = 1
+    coloured: bool = True
 
     @property
     def dims(self) -> tuple[int, int, int]:

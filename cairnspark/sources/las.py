@@ -183,18 +183,42 @@ def describe(path: str) -> dict:
     return h | {"extent": (w, d, up), "area": w * d, "density": h["count"] / (w * d) if w * d > 0 else None}
 
 
-def set_crs(path: str, wkt: str, apply: bool = False) -> dict:
-    """Append a WKT record to a LAS 1.4 file and point its header there; returns what restores it. Dry run by default."""
+def sample(path: str, count: int = 2000, stops: int = 40) -> np.ndarray:
+    """About ``count`` points [n, 3] by seeking to evenly spaced stops; all points of a file that has no more."""
+    h = read_header(path)
+    if h["compressed"]:
+        raise ValueError(f"{path}: LAZ needs a decoder that is not available; convert it to LAS")
+    if h["count"] <= count:
+        spans = [(0, h["count"])]
+    else:
+        each = -(-count // stops)
+        spans = [(k * (h["count"] - each) // max(1, stops - 1), each) for k in range(stops)]
+    got = [records(path, h, start, n, ["x", "y", "z"]) for start, n in spans if n]
+    return np.concatenate([np.column_stack([g[c] for c in "xyz"]) for g in got]) if got else np.zeros((0, 3))
+
+
+def set_crs(path: str, wkt: str, apply: bool = False, force: bool = False) -> dict:
+    """Append a WKT record to a LAS 1.4 file and point its header there; returns what restores it. Dry run by default.
+
+    A file that declares a CRS is refused without ``force``; then the new
+    record, the last of its kind, counts.
+    """
     h = read_header(path)
     if h["version"] != "1.4":
         raise ValueError("only LAS 1.4 files can take an extended record")
+    if h["epsg"] and not force:
+        raise ValueError(f"the file declares EPSG:{h['epsg']} already")
     size = os.path.getsize(path)
     with open(path, "rb") as f:
         raw = f.read(375)
-    at, n = struct.unpack_from("<QI", raw, 235)
+        at, n = struct.unpack_from("<QI", raw, 235)
+        end = at if n else size
+        for _ in range(n):
+            f.seek(end + 20)
+            end += 60 + struct.unpack("<Q", f.read(8))[0]
+    if end != size:
+        raise ValueError("the file has data after its extended records")
     undo = {"size": size, "header": raw[6:8] + raw[235:247]}
-    if n and at:
-        raise ValueError("the file has extended records already")
     body = wkt.encode() + b"\0"
     if apply:
         with open(path, "r+b") as f:
@@ -203,7 +227,7 @@ def set_crs(path: str, wkt: str, apply: bool = False) -> dict:
             f.seek(6)
             f.write(struct.pack("<H", struct.unpack_from("<H", raw, 6)[0] | 16))
             f.seek(235)
-            f.write(struct.pack("<QI", size, 1))
+            f.write(struct.pack("<QI", at if n else size, n + 1))
     return undo
 
 

@@ -12,7 +12,13 @@ from pathlib import Path
 from cairnspark.functions.scalar import TILE_NAME
 
 MARKER = ".cairnspark"
-DOCUMENTS = {"tileset.json", "tileset.json.gz", "specs.json", "report.json", "properties.config.json", MARKER}
+LOG = "log/build.log"
+DOCUMENTS = {"tileset.json", "tileset.json.gz", "specs.json", "report.json", "properties.config.json", LOG, MARKER}
+# Content types and cache headers of published files.
+SERVED = {
+    ".glb": ("model/gltf-binary", "public, max-age=31536000, immutable"),
+    ".json": ("application/json", "public, max-age=300, must-revalidate"),
+}
 
 
 def work_folder(spark, name: str) -> str:
@@ -36,6 +42,33 @@ def inspect(out: str) -> dict:
     return {"kind": kind, "delete": own if kind == "own" else [], "keep": keep if kind != "empty" else []}
 
 
+def confirm(out: str, overwrite: bool, ask=None) -> bool:
+    """Whether a build may replace what is in ``out``.  Foreign folders never, empty ones always; an own one by ``overwrite`` or by a yes to ``ask`` (None: nobody to ask)."""
+    found = inspect(out)
+    if found["kind"] != "own" or overwrite:
+        return found["kind"] != "foreign"
+    if ask is None:
+        return False
+    kept = f", keeping {len(found['keep'])}" if found["keep"] else ""
+    return ask(f"{out} holds an earlier build. Delete its {len(found['delete'])} files{kept}? [y/N] ").strip().lower() in {"y", "yes"}
+
+
+def upload_plan(folder: str) -> list[dict]:
+    """What publishing a folder sends: file, key (without .gz), type, encoding, cache header and size; documents after the tiles they name.
+
+    Where a file has a compressed twin, the twin is sent.
+    """
+    root, plan = Path(folder), []
+    for path in sorted(p for p in root.rglob("*") if p.is_file()):
+        name = path.relative_to(root).as_posix()
+        key = name.removesuffix(".gz")
+        served = SERVED.get(Path(key).suffix)
+        twin = key == name and path.with_name(path.name + ".gz").exists()
+        if served and not twin and not path.name.startswith("."):
+            plan.append({"file": str(path), "key": key, "type": served[0], "encoding": "gzip" if key != name else None, "cache": served[1], "bytes": path.stat().st_size})
+    return sorted(plan, key=lambda r: r["key"].endswith(".json"))
+
+
 def clear(out: str, overwrite: bool) -> None:
     """Make room for a build: refuses foreign folders, needs ``overwrite`` for own ones, deletes listed names only."""
     found = inspect(out)
@@ -47,10 +80,11 @@ def clear(out: str, overwrite: bool) -> None:
             raise FileExistsError(f"{out} holds an earlier build; pass overwrite to replace it")
         for n in found["delete"]:
             os.remove(Path(out) / n)
-        for d in ("content",):
+        for d in ("content", "log"):
             if (p := Path(out) / d).is_dir() and not any(p.iterdir()):
                 p.rmdir()
-    Path(out, "content").mkdir(parents=True, exist_ok=True)
+    for d in ("content", "log"):
+        Path(out, d).mkdir(parents=True, exist_ok=True)
     Path(out, MARKER).write_text("cairnspark output\n")
 
 

@@ -9,7 +9,7 @@ import pytest
 from cairnspark.functions import crs, glb
 from cairnspark.operators import properties
 from cairnspark.operators.raster import Affine
-from cairnspark.plans import build
+from cairnspark.plans import build, verify
 from cairnspark.schema import BuildConfig, GridSpec, check_key_space, level_dims, pyramid_depth
 from cairnspark.sources import geotiff, las, outdir
 
@@ -44,13 +44,13 @@ def test_baked_tileset(spark, cloud, tmp_path):
     assert len(levels) > 2 and levels[-1][1] < voxels  # the deck has cells inside
     assert r["placement_residual"]["max_horizontal_m"] < 0.01 and r["placement_residual"]["max_vertical_m"] < 0.01
     assert r["origin_lonlat"][0] == pytest.approx(-44.999999027, abs=1e-8) and -22.606 < r["origin_lonlat"][1] < -22.604
-    assert [row.ok for row in build.verify(spark, out).select("ok").distinct().collect()] == [True]
+    assert [row.ok for row in verify.verify(spark, out).select("ok").distinct().collect()] == [True]
     with pytest.raises(FileExistsError):
         build.build(cloud[1], out)
     tileset = json.load(open(os.path.join(out, "tileset.json")))
     tileset["root"]["children"][0]["boundingVolume"]["box"][3] -= 0.01
     json.dump(tileset, open(os.path.join(out, "tileset.json"), "w"))
-    assert build.verify(spark, out).where("not ok").count() > 0
+    assert verify.verify(spark, out).where("not ok").count() > 0
 
 
 def test_instanced_gzip_and_properties(spark, cloud, tmp_path):
@@ -58,7 +58,7 @@ def test_instanced_gzip_and_properties(spark, cloud, tmp_path):
     cubes = sum(c for _, c, _ in site.count(BRICK)[2])
     assert r["totals"]["cubes"] == cubes and r["totals"]["triangles"] == 12 * cubes
     assert all(n.endswith(".gz") for n in os.listdir(tmp_path / "i" / "content"))
-    assert build.verify(spark, str(tmp_path / "i")).where("not ok").count() == 0
+    assert verify.verify(spark, str(tmp_path / "i")).where("not ok").count() == 0
     p = build.build(cloud[1], str(tmp_path / "p"), BuildConfig(epsg=site.EPSG, brick=BRICK), {"Cover": landcover()})
     assert sum(p["properties"]["Cover"]["classes"].values()) == cubes and p["properties"]["Cover"]["outside"] > 0
     blob = (tmp_path / "p" / "content" / "L0_0_0.glb").read_bytes()
