@@ -19,7 +19,7 @@ def grid_spec(points: DataFrame, voxel_size: float = 1.0) -> GridSpec:
     row = points.agg(*aggs, F.count("*").alias("n"), peak.alias("peak")).first()
     if not row.n:
         raise ValueError("no points")
-    return GridSpec(voxel_size, tuple(row[f"lo_{c}"] for c in "xyz"), tuple(row[f"hi_{c}"] for c in "xyz"), row.n, 257 if (row.peak or 0) > 255 else 1, rgb and row.peak is not None)
+    return GridSpec(voxel_size, tuple(float(row[f"lo_{c}"]) for c in "xyz"), tuple(float(row[f"hi_{c}"]) for c in "xyz"), row.n, 257 if (row.peak or 0) > 255 else 1, rgb and row.peak is not None)
 
 
 def bin_points(points: DataFrame, grid: GridSpec) -> DataFrame:

@@ -24,6 +24,19 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mm.select((F.col("xm") * F.lit(0.001)).alias("x"), (F.col("ym") * F.lit(0.001)).alias("y"), (z * F.lit(0.001)).alias("z"), "red", "green", (F.col("q") * 1280).cast("int").alias("blue"))
 
 
+def dense_points(spark: SparkSession, sf_dir: str, copies: int = 16, side: int = 357_000) -> DataFrame:
+    """A denser site for timing whole builds: ``copies`` points for each row of ``lineitem``, on slopes over a square of ``side`` millimetres."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    many = li.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("k"))
+    mm = many.select(
+        F.expr(f"pmod(l_orderkey * 7919 + l_linenumber * 104729 + l_suppkey * 613 + k * 15485863, {side})").alias("xm"),
+        F.expr(f"pmod(l_partkey * 1299709 + l_suppkey * 86028121 + k * 32452843, {side})").alias("ym"),
+        "k", (F.col("l_partkey") % 256 * 256).cast("int").alias("red"), (F.col("l_suppkey") % 256 * 256).cast("int").alias("green"),
+    )
+    z = F.expr("xm div 10 + ym div 15 + k * 120")
+    return mm.select((F.col("xm") * F.lit(0.001)).alias("x"), (F.col("ym") * F.lit(0.001)).alias("y"), (z * F.lit(0.001)).alias("z"), "red", "green", (F.col("k") * 4096).cast("int").alias("blue"))
+
+
 def raster(spark: SparkSession, kind: str = "class") -> DataFrame:
     """Five classes, or a slope, with nodata pixels on diagonals."""
     r = spark.range(RASTER.height * RASTER.width).select(F.expr(f"cast(id div {RASTER.width} as int)").alias("row"), F.expr(f"cast(id % {RASTER.width} as int)").alias("col"))

@@ -94,21 +94,27 @@ class LasReader(DataSourceReader):
 
     def partitions(self):
         files = [self.path] if os.path.isfile(self.path) else sorted(os.path.join(self.path, x) for x in os.listdir(self.path) if x.lower().endswith((".las", ".laz")))
-        out = []
+        out, room = [], 0  # a task reads a range of a long file, or several short files
         for path in files:
             h = read_header(path)
             if h["compressed"]:
                 raise ValueError(f"{path}: LAZ needs a decoder that is not available; convert it to LAS")
-            out += [InputPartition((path, h, s, min(self.size, h["count"] - s))) for s in range(0, h["count"], self.size)]
-        return out or [InputPartition((None, None, 0, 0))]
+            for start in range(0, h["count"], self.size):
+                n = min(self.size, h["count"] - start)
+                if n > room:
+                    out.append([])
+                    room = self.size
+                out[-1].append((path, h, start, n))
+                room -= n
+        return [InputPartition(spans) for spans in out] or [InputPartition([])]
 
     def read(self, partition):
-        path, header, start, total = partition.value
-        for lo in range(0, total, 200_000):
-            n = min(200_000, total - lo)
-            got = records(path, header, start + lo, n, self.columns)
-            kinds = {"red": pa.int32(), "green": pa.int32(), "blue": pa.int32()}
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, kinds[c]) if got[c] is None else pa.array(got[c], kinds.get(c, pa.float64())) for c in self.columns], names=self.columns)
+        kinds = {"red": pa.int32(), "green": pa.int32(), "blue": pa.int32()}
+        for path, header, start, total in partition.value:
+            for lo in range(0, total, 200_000):
+                n = min(200_000, total - lo)
+                got = records(path, header, start + lo, n, self.columns)
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, kinds[c]) if got[c] is None else pa.array(got[c], kinds.get(c, pa.float64())) for c in self.columns], names=self.columns)
 
 
 class LasSource(DataSource):
@@ -161,16 +167,24 @@ def write_parts(points, folder: str, scales=(0.001,) * 3, offsets=(0.0,) * 3, ep
         import pandas as pd
         from pyspark import TaskContext
 
-        task, k = TaskContext.get().partitionId(), 0
+        task, k, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def flush(part):
+            name = os.path.join(folder, f"part-{task:05d}-{k:05d}.las")
+            xyz = np.rint((part[["x", "y", "z"]].to_numpy() - offsets) / scales).astype(np.int64)
+            write_las(f"{name}.{os.getpid()}", xyz, part[["red", "green", "blue"]].to_numpy(), scales, offsets, epsg)
+            os.replace(f"{name}.{os.getpid()}", name)
+            return pd.DataFrame({"file": [name], "n": [len(part)]})
+
         for b in batches:
-            for lo in range(0, len(b), rows):
-                part = b.iloc[lo : lo + rows]
-                name = os.path.join(folder, f"part-{task:05d}-{k:05d}.las")
-                xyz = np.rint((part[["x", "y", "z"]].to_numpy() - offsets) / scales).astype(np.int64)
-                write_las(f"{name}.{os.getpid()}", xyz, part[["red", "green", "blue"]].to_numpy(), scales, offsets, epsg)
-                os.replace(f"{name}.{os.getpid()}", name)
-                k += 1
-                yield pd.DataFrame({"file": [name], "n": [len(part)]})
+            while len(b):  # a file is filled before the next begins
+                held.append(b.iloc[: rows - size])
+                size, b = size + len(held[-1]), b.iloc[rows - size :]
+                if size == rows:
+                    yield flush(pd.concat(held))
+                    k, held, size = k + 1, [], 0
+        if held:
+            yield flush(pd.concat(held))
 
     os.makedirs(folder, exist_ok=True)
     return points.select("x", "y", "z", "red", "green", "blue").mapInPandas(run, "file string, n long")

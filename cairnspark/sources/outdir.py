@@ -90,7 +90,7 @@ def clear(out: str, overwrite: bool) -> None:
 
 def write_file(path: str, data: bytes, zipped: bool, raw: bool) -> int:
     """Write a file, its gzip twin, or only that; each appears whole by a rename.  Returns the size before compression."""
-    for name, body in ([(path, data)] if raw else []) + ([(path + ".gz", gzip.compress(data, 9, mtime=0))] if zipped else []):
+    for name, body in ([(path, data)] if raw else []) + ([(path + ".gz", gzip.compress(data, 6, mtime=0))] if zipped else []):
         part = f"{name}.{os.getpid()}.part"
         with open(part, "wb") as f:
             f.write(body)

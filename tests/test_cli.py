@@ -119,3 +119,13 @@ def test_sample_stops(tmp_path):
     assert len(las.sample(path)) == 1000
     got = las.sample(path, 100, 10)[:, 0]
     assert len(got) == 100 and got[0] == 0 and got[-1] == 999 and (np.diff(got) > 0).all()
+
+
+def test_parts_are_filled_and_short_files_share_a_task(spark, tmp_path):
+    rows = spark.range(25_000, numPartitions=1).selectExpr("id * 0.5D as x", "1.0D as y", "2.0D as z", "1 as red", "2 as green", "3 as blue")
+    files = las.write_parts(rows, str(tmp_path / "l"), rows=12_000).orderBy("file").collect()
+    assert [f.n for f in files] == [12_000, 12_000, 1_000]
+    las.register(spark)
+    back = spark.read.format("las").option("records", 13_000).load(str(tmp_path / "l"))
+    assert back.rdd.getNumPartitions() == 2 and back.count() == 25_000
+    assert back.selectExpr("sum(x)", "max(x)", "sum(blue)").first() == rows.selectExpr("sum(x)", "max(x)", "sum(blue)").first()
