@@ -62,11 +62,21 @@ def parse(argv: list[str]) -> argparse.Namespace:
     return a
 
 
+def crs_text(epsg: int | None) -> str:
+    if not epsg:
+        return "none declared"
+    try:
+        return f"EPSG:{epsg} ({crs.utm(epsg)[3]})"
+    except ValueError:
+        return f"EPSG:{epsg}"
+
+
 def info_text(h: dict) -> str:
     density = "unknown" if h["density"] is None else f"{h['density']:.3f} points per square unit"
     rows = [
         ("version", h["version"]), ("point format", h["format"]), ("points", f"{h['count']:,}"), ("colours", "yes" if h["has_rgb"] else "no"), ("compressed", "yes" if h["compressed"] else "no"),
-        ("CRS", f"EPSG:{h['epsg']}" if h["epsg"] else "none declared"), ("minimum", h["mins"]), ("maximum", h["maxs"]), ("extent", h["extent"]), ("density", density),
+        ("dimensions", ", ".join(h["dimensions"])), ("created", h["created"] or "unknown"), ("project id", h["uuid"] or "none"),
+        ("CRS", crs_text(h["epsg"])), ("WKT", h["wkt"] or "none"), ("minimum", h["mins"]), ("maximum", h["maxs"]), ("extent", h["extent"]), ("density", density),
         ("scales", h["scales"]), ("offsets", h["offsets"]), ("system", h["system"]), ("software", h["software"]), ("records", ", ".join(f"{v['user']}/{v['id']}" for v in h["vlrs"]) or "none"),
     ]
     return "\n".join(f"{k:>14}: {v}" for k, v in rows)
@@ -98,7 +108,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                 rasters[s["name"]] = geotiff.read(f.read(), s.get("band", 1))
         kept = open(a.properties, "rb").read() if a.properties else None  # it may lie in the output folder
         a.config.overwrite = True
-        report = build(spark.read.format("las").load(a.input), a.output, a.config, rasters, say=None if a.quiet else print)
+        report = build(spark.read.format("las").load(a.input), a.output, a.config, rasters, say=None if a.quiet else print, settings={s["name"]: s for s in a.specs})
         if kept is not None:
             outdir.write_file(os.path.join(a.output, "properties.config.json"), kept, False, True)
         if not a.quiet:

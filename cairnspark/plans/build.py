@@ -94,10 +94,11 @@ def node_tree(bounds: list, depth: int) -> dict:
     return {"boundingVolume": {"box": [*c, h[0], 0, 0, 0, h[1], 0, 0, 0, h[2]]}, "geometricError": roots[0].cell_size * 2, "refine": "REPLACE", "children": [node(t) for t in roots]}
 
 
-def build(points: DataFrame, out: str, config: BuildConfig | None = None, rasters: dict | None = None, cut=None, say=None) -> dict:
+def build(points: DataFrame, out: str, config: BuildConfig | None = None, rasters: dict | None = None, cut=None, say=None, settings: dict | None = None) -> dict:
     """Build a tileset from ``points`` into the folder ``out``; returns the report.
 
-    ``rasters`` maps property names to ``geotiff.Raster``.  ``cut`` may
+    ``rasters`` maps property names to ``geotiff.Raster``, ``settings`` to
+    their kind, labels and colours (a config's entries).  ``cut`` may
     materialise a level and the drawn cells (a checkpoint on a cluster); by
     default they are cached for the build.  Only the tile table, a row per
     tile, comes to the driver, with bounds that the encoding tasks found.
@@ -125,7 +126,7 @@ def build(points: DataFrame, out: str, config: BuildConfig | None = None, raster
     note(f"grid {' x '.join(map(str, grid.dims))} from {grid.n_points:,} points")
     props = []
     for name, r in (rasters or {}).items():
-        props.append(P.prepare(name, r))
+        props.append(P.prepare(name, r, (settings or {}).get(name)))
         share = P.coverage(props[-1], (ox, oy - sides[2], ox + sides[0], oy), config.epsg)
         if share <= 0:
             raise ValueError(f"{name}: the raster does not overlap the points")
@@ -194,7 +195,8 @@ def describe(config: BuildConfig, grid: GridSpec, depth: int, tiles: list, props
         own = [n[p.name] for n in notes]
         classes = {k: sum(n["classes"].get(k, 0) for n in own) for k in sorted({k for n in own for k in n["classes"]}, key=int)} if p.categorical else None
         kind = "categorical" if p.categorical else "continuous"
-        specs["properties"][p.name] = {"kind": kind, "component_type": p.component, "minimum": min(n["min"] for n in own), "maximum": max(n["max"] for n in own), "raster_epsg": p.epsg}
+        legend = {"classes": {k: P.legend(p, int(k)) | {"cells": n} for k, n in classes.items()}} if p.categorical else {}
+        specs["properties"][p.name] = {"kind": kind, "component_type": p.component, "minimum": min(n["min"] for n in own), "maximum": max(n["max"] for n in own), "raster_epsg": p.epsg} | legend
         report["properties"][p.name] = {
             "on_filled": sum(n["on_filled"] for n in own), "outside": sum(n["outside"] for n in own), "max_ring": max(n["max_ring"] for n in own), "mean": sum(n["sum"] for n in own) / totals["cubes"], "classes": classes
         }

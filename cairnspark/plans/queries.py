@@ -273,8 +273,7 @@ def palette_buckets(spark, sf_dir):
 def color_quantize(spark, sf_dir):
     """Five-bit colours."""
     c = _cells(spark, sf_dir, 1)[0]
-    top = F.lit(31.0)
-    return c.select(*INDEX, *[F.round(F.rint(F.col(x) / F.lit(255.0) * top) / top, 6).alias(x) for x in "rgb"])
+    return c.select(*INDEX, *[F.round(S.quantized(F.col(x), 5).cast("double"), 6).alias(x) for x in "rgb"])
 
 
 @query(C.sql([*C.LEVEL_SQL], "SELECT DISTINCT '#' || lpad(lower(to_hex(r)), 2, '0') || lpad(lower(to_hex(g)), 2, '0') || lpad(lower(to_hex(b)), 2, '0') AS hex, r, g, b FROM c2"))
@@ -356,12 +355,16 @@ def raster_sat(spark, sf_dir):
 _AROUND = ", ".join(f"({i}, {dr}, {dc})" for i, (dr, dc) in enumerate(R.AROUND))
 
 
-def _fill_sql(src: str, pick: str, passes: int, out: str) -> str:
-    ctes = [C.RASTER_SQL, f"o(ord, dr, dc) AS (VALUES {_AROUND})", f"s0 AS (SELECT row, col, value, valid, 0 AS dist FROM {src})"]
+def _fill_ctes(src: str, pick: str, passes: int) -> list[str]:
+    ctes = [f"o(ord, dr, dc) AS (VALUES {_AROUND})", f"s0 AS (SELECT row, col, value, valid, 0 AS dist FROM {src})"]
     for k in range(1, passes + 1):
         ctes.append(f"n{k} AS (SELECT a.row, a.col, {pick} AS given FROM s{k - 1} a, o JOIN s{k - 1} b ON b.row = a.row + dr AND b.col = a.col + dc WHERE NOT a.valid AND b.valid GROUP BY ALL)")
         ctes.append(f"s{k} AS (SELECT a.row, a.col, CASE WHEN NOT valid AND given IS NOT NULL THEN given ELSE value END AS value, valid OR given IS NOT NULL AS valid, CASE WHEN NOT valid AND given IS NOT NULL THEN {k} ELSE dist END AS dist FROM s{k - 1} a LEFT JOIN n{k} n ON n.row = a.row AND n.col = a.col)")
-    return C.sql(ctes, f"SELECT row, col, {out} AS value, valid, dist FROM s{passes}")
+    return ctes
+
+
+def _fill_sql(src: str, pick: str, passes: int, out: str) -> str:
+    return C.sql([C.RASTER_SQL, *_fill_ctes(src, pick, passes)], f"SELECT row, col, {out} AS value, valid, dist FROM s{passes}")
 
 
 @query(_fill_sql("ra", "min_by(b.value, ord)", 2, "value::INT"))
@@ -378,8 +381,8 @@ def raster_fill_mean(spark, sf_dir):
     return f.select("row", "col", F.round("value", 6).alias("value"), "valid", "dist")
 
 
-def _histogram(spark, sf_dir):
-    r = C.raster(spark).withColumn("dist", F.lit(0))
+def _histogram(spark, sf_dir, passes=0):
+    r = R.fill_nearest(C.raster(spark), passes)
     out = None
     for depth in range(C.LEVELS):
         at, _ = _placed(spark, sf_dir, depth)
@@ -388,8 +391,7 @@ def _histogram(spark, sf_dir):
     return out
 
 
-def _histogram_sql(select: str) -> str:
-    parts = [x for d in range(C.LEVELS) for x in _placed_sql(d)[len(C.FACES_SQL) + 1 :] if False]
+def _histogram_sql(select: str, src: str = "ra", ctes=()) -> str:
     r = C.RASTER
     every = " UNION ALL ".join(
         f"SELECT {d} AS depth, gx, gy, gz, least(greatest(floor((x0 + (gx + 0.5::DOUBLE) * {C.VOXEL * 2**d} - {r.c}) / {r.a}), 0), {r.width - 1})::INT AS col, "
@@ -397,7 +399,7 @@ def _histogram_sql(select: str) -> str:
         f"floor((x0 + (gx + 0.5::DOUBLE) * {C.VOXEL * 2**d} - {r.c}) / {r.a}) NOT BETWEEN 0 AND {r.width - 1} OR floor(((y0 + nz * {C.VOXEL}) - (gz + 0.5::DOUBLE) * {C.VOXEL * 2**d} - {r.f}) / ({r.e})) NOT BETWEEN 0 AND {r.height - 1} AS outside FROM f{d}, gr WHERE nf > 0"
         for d in range(C.LEVELS)
     )
-    return C.sql([*C.FACES_SQL, C.RASTER_SQL, *parts, f"al AS ({every})", "h AS (SELECT depth, outside, value, valid FROM al JOIN ra ON ra.row = al.row AND ra.col = al.col)"], select)
+    return C.sql([*C.FACES_SQL, C.RASTER_SQL, *ctes, f"al AS ({every})", f"h AS (SELECT depth, outside, r.* FROM al JOIN {src} r ON r.row = al.row AND r.col = al.col)"], select)
 
 
 @query(_histogram_sql("SELECT depth, value::INT AS value, count(*) AS cells FROM h GROUP BY ROLLUP (depth, value)"))
@@ -413,11 +415,11 @@ def property_range(spark, sf_dir):
     return h.agg(F.min("value").cast("int").alias("lo"), F.max("value").cast("int").alias("hi"), F.round(F.avg("value"), 6).alias("mean"), F.count("*").alias("n"))
 
 
-@query(_histogram_sql("SELECT depth, sum((outside OR NOT valid)::INT)::BIGINT AS on_filled, sum(outside::INT)::BIGINT AS outside FROM h GROUP BY depth"))
+@query(_histogram_sql("SELECT depth, sum((outside OR dist > 0)::INT)::BIGINT AS on_filled, sum(outside::INT)::BIGINT AS outside, max(dist) AS max_ring FROM h GROUP BY depth", "s2", _fill_ctes("ra", "min_by(b.value, ord)", 2)))
 def fill_counters(spark, sf_dir):
-    """Cells on filled pixels and outside."""
-    h = _histogram(spark, sf_dir).join(C.raster(spark).select("row", "col", "valid"), ["row", "col"])
-    return h.groupBy("depth").agg(F.count_if(F.col("outside") | ~F.col("valid")).alias("on_filled"), F.count_if("outside").alias("outside"))
+    """Cells on filled pixels and outside, and the farthest ring that a cell's value comes from."""
+    h = _histogram(spark, sf_dir, 2)
+    return h.groupBy("depth").agg(F.count_if(F.col("outside") | (F.col("dist") > 0)).alias("on_filled"), F.count_if("outside").alias("outside"), F.max("dist").alias("max_ring"))
 
 
 _R = C.RASTER

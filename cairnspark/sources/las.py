@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 import re
 import struct
+import uuid
+from datetime import date, timedelta
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,12 @@ def read_header(path: str) -> dict:
         if raw[25] >= 4 and raw[24] == 1:
             h["count"] = struct.unpack_from("<Q", raw, 247)[0]
             spans.append((struct.unpack_from("<Q", raw, 235)[0], struct.unpack_from("<I", raw, 243)[0], 60))
-        h["vlrs"], h["epsg"] = [], None
+        guid = raw[8:24]
+        h["uuid"] = str(uuid.UUID(bytes_le=guid)) if any(guid) else None
+        day, year = u16(90), u16(92)
+        h["created"] = str(date(year, 1, 1) + timedelta(days=day - 1)) if year and 0 < day < 367 else None
+        h["dimensions"] = dimensions(h["format"])
+        h["vlrs"], h["epsg"], h["wkt"] = [], None, None
         for at, n, size in spans:
             for _ in range(n):
                 f.seek(at)
@@ -48,11 +55,25 @@ def read_header(path: str) -> dict:
                 data = f.read(length) if rid in (34735, 2112) else b""
                 h["vlrs"].append({"user": user, "id": rid, "length": length})
                 h["epsg"] = crs_of(rid, data) or h["epsg"]
+                if rid == 2112:
+                    h["wkt"] = data.split(b"\0")[0].decode("utf-8", "replace")
                 at += size + length
     h["has_rgb"] = h["format"] in RGB_AT
     return h
 
 
+def dimensions(fmt: int) -> list[str]:
+    """Names of a point format's fields."""
+    first = ["x", "y", "z", "intensity", "return_number", "number_of_returns"]
+    old = ["scan_direction_flag", "edge_of_flight_line", "classification", "synthetic", "key_point", "withheld", "scan_angle_rank", "user_data", "point_source_id"]
+    new = ["synthetic", "key_point", "withheld", "overlap", "scanner_channel", "scan_direction_flag", "edge_of_flight_line", "classification", "user_data", "scan_angle", "point_source_id"]
+    out = first + (old if fmt < 6 else new)
+    out += ["gps_time"] * (fmt in (1, 3, 4, 5) or fmt >= 6)
+    out += ["red", "green", "blue"] * (fmt in RGB_AT) + ["nir"] * (fmt in (8, 10))
+    waves = ["wavepacket_index", "wavepacket_offset", "wavepacket_size", "return_point_wave_location", "x_t", "y_t", "z_t"]
+    return out + waves * (fmt in (4, 5, 9, 10))
+
+
 def crs_of(record_id: int, data: bytes) -> int | None:
     """EPSG code in a GeoKey directory or a WKT record."""
     if record_id == 34735 and len(data) >= 8:

@@ -59,9 +59,16 @@ def test_instanced_gzip_and_properties(spark, cloud, tmp_path):
     assert r["totals"]["cubes"] == cubes and r["totals"]["triangles"] == 12 * cubes
     assert all(n.endswith(".gz") for n in os.listdir(tmp_path / "i" / "content"))
     assert verify.verify(spark, str(tmp_path / "i")).where("not ok").count() == 0
-    p = build.build(cloud[1], str(tmp_path / "p"), BuildConfig(epsg=site.EPSG, brick=BRICK), {"Cover": landcover()})
+    p = build.build(cloud[1], str(tmp_path / "p"), BuildConfig(epsg=site.EPSG, brick=BRICK), {"Cover": landcover()}, settings={"Cover": {"labels": {"1": "roof"}, "colors": {"4": "#88cc44"}}})
     assert sum(p["properties"]["Cover"]["classes"].values()) == cubes and p["properties"]["Cover"]["outside"] > 0
     blob = (tmp_path / "p" / "content" / "L0_0_0.glb").read_bytes()
+    assert verify.verify(spark, str(tmp_path / "p")).where("not ok").count() == 0
+    tables = [glb.metadata_checks((tmp_path / "p" / "content" / n).read_bytes(), p["voxel_size"] * 2 ** (p["levels"] - 1 - int(n[1])), {}) for n in os.listdir(tmp_path / "p" / "content")]
+    assert sorted(np.concatenate([ids for _, ids in tables]).tolist()) == list(range(cubes)) and all(ok for found, _ in tables for _, ok in found)
+    assert not all(ok for _, ok in glb.metadata_checks(blob, p["voxel_size"], {})[0])  # the wrong cell size mixes cubes up
+    assert not all(ok for _, ok in glb.metadata_checks(blob, p["voxel_size"] * 2 ** (p["levels"] - 1), {"Cover": {"minimum": 1, "maximum": 1}})[0])
+    legend = json.load(open(tmp_path / "p" / "specs.json"))["properties"]["Cover"]["classes"]
+    assert legend["1"]["label"] == "roof" and legend["4"]["color"] == "#88cc44" and legend["0"]["color"] == "#005ac8" and sum(c["cells"] for c in legend.values()) == cubes
     assert all(ok for _, ok in glb.checks(blob))
     assert glb.unpack(blob)[0]["extensionsUsed"] == ["EXT_mesh_features", "EXT_structural_metadata"]
 
@@ -77,7 +84,8 @@ def test_las_header_crs_and_restore(cloud, tmp_path):
     undo = las.set_crs(path, 'PROJCS["x",AUTHORITY["EPSG","31983"]]')
     assert hashlib.sha256(open(path, "rb").read()).hexdigest() == before
     las.set_crs(path, 'PROJCS["x",AUTHORITY["EPSG","31983"]]', apply=True)
-    assert las.read_header(path)["epsg"] == 31983 and las.read_header(path)["count"] == 10
+    assert las.read_header(path)["epsg"] == 31983 and las.read_header(path)["count"] == 10 and las.read_header(path)["wkt"].startswith("PROJCS")
+    assert las.read_header(path)["dimensions"][-4:] == ["gps_time", "red", "green", "blue"] and las.read_header(path)["uuid"] is None
     las.restore_crs(path, undo)
     assert hashlib.sha256(open(path, "rb").read()).hexdigest() == before
 
@@ -115,7 +123,7 @@ def test_property_rules_and_rounding():
         properties.check_names(bad)
     assert all(part in str(e.value) for part in ("same name", "kind is unknown", "nearest", "no digit"))
     r = geotiff.Raster(np.array([[0, 255], [255, 255]], np.uint8), Affine(1.0, 0.0, -1.0, 2.0, 2, 2), site.EPSG)
-    p = properties.prepare("v", r, "continuous")
+    p = properties.prepare("v", r, {"kind": "continuous"})
     p.filled = np.array([[-3.0, 300.0], [254.6, 1.2]])  # outside the stored type's range
     got, _ = properties.sample(p, np.array([0.5, 1.5, 0.5, 1.5]), np.array([1.5, 1.5, 0.5, 0.5]), 0.1, site.EPSG)
     assert got.dtype == np.uint8 and got.tolist() == [0, 255, 255, 1]
