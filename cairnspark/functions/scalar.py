@@ -74,10 +74,11 @@ def world(grid: GridSpec, cell: float) -> dict[str, Column]:
 
 
 def size_text(c: Column) -> Column:
-    """Bytes as text with a unit."""
+    """Bytes as text with a unit, rounded from the exact value of the double as in C (``format_string`` would turn 1.005 into 1.01)."""
+    two = lambda x: F.call_function("format_number", x, F.lit("0.00"))
     return (
-        F.when(c >= 1e9, F.format_string("%.2f GB", c / 1e9)).when(c >= 1e6, F.format_string("%.2f MB", c / 1e6))
-        .when(c >= 1e3, F.format_string("%.2f KB", c / 1e3)).otherwise(F.format_string("%d bytes", c.cast("long")))
+        F.when(c >= 1e9, F.concat(two(c / 1e9), F.lit(" GB"))).when(c >= 1e6, F.concat(two(c / 1e6), F.lit(" MB")))
+        .when(c >= 1e3, F.concat(two(c / 1e3), F.lit(" KB"))).otherwise(F.format_string("%d bytes", c.cast("long")))
     )
 
 

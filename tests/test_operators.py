@@ -41,3 +41,16 @@ def test_one_shuffle_for_all_face_tests(spark):
     cells = spark.createDataFrame([(0, 0, 0)], "gx long, gy long, gz long")
     plan = exposed_faces(cells, 8)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_size_text_rounds_as_sql(spark, duck):
+    from pyspark.sql import functions as F
+
+    from cairnspark.functions.scalar import size_text
+
+    sizes = [0, 5, 999, 1000, 1005, 1015, 1125, 1375, 999_995, 999_999, 1_005_000, 1_125_000, 2_625_000, 2_835_000, 3_255_000, 999_995_000, 1_005_000_000, 1_125_000_000, 7 * 10**15 + 5 * 10**6]
+    sizes += [1500 * k for k in range(600, 4000, 10)]
+    got = [r.s for r in spark.createDataFrame([(i, b) for i, b in enumerate(sizes)], "i int, b long").select("i", size_text(F.col("b")).alias("s")).orderBy("i").collect()]
+    sql = "CASE WHEN b >= 1e9 THEN printf('%.2f GB', b / 1e9) WHEN b >= 1e6 THEN printf('%.2f MB', b / 1e6) WHEN b >= 1e3 THEN printf('%.2f KB', b / 1e3) ELSE b || ' bytes' END"
+    assert got == [r[0] for r in duck.execute(f"SELECT {sql} FROM (SELECT unnest(?::BIGINT[]) AS b)", [sizes]).fetchall()]
+    assert got == [f"{b} bytes" if b < 1e3 else f"{b / 1e3:.2f} KB" if b < 1e6 else f"{b / 1e6:.2f} MB" if b < 1e9 else f"{b / 1e9:.2f} GB" for b in sizes]
