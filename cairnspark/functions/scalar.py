@@ -82,6 +82,18 @@ def size_text(c: Column) -> Column:
     )
 
 
+def range_of(c: Column, bounds: list) -> Column:
+    """How many of the sorted ``bounds`` are below ``c``, by halving; a null counts as above all."""
+
+    def halve(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c <= bounds[mid], halve(lo, mid)).otherwise(halve(mid + 1, hi))
+
+    return halve(0, len(bounds))
+
+
 def hex_colour(r: Column, g: Column, b: Column) -> Column:
     return F.concat(F.lit("#"), *[F.lower(F.lpad(F.hex(c), 2, "0")) for c in (r, g, b)])
 

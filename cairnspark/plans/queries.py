@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairnspark.functions import scalar as S
@@ -449,17 +449,19 @@ def density(spark, sf_dir):
 
 @query("SELECT o_orderkey, o_custkey FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS k, (SELECT count(*) FROM orders) AS n FROM orders) WHERE k % greatest(1, n // 2000) = 0")
 def stride_sample(spark, sf_dir):
-    """Every k-th row of an ordered source (numbers from range partitions, no single-task window)."""
+    """Every k-th row of an ordered source (numbers within ranges of fixed bounds, no single-task window); equal keys by customer."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
     n = o.count()
-    parts = o.repartitionByRange(max(1, min(200, n // 100_000 + 1)), "o_orderkey").sortWithinPartitions("o_orderkey").withColumn("id", F.monotonically_increasing_id())
-    parts = parts.withColumn("part", F.shiftright("id", 33)).withColumn("at", F.col("id").bitwiseAND(F.lit((1 << 33) - 1)))
-    sizes = {r.part: r.n for r in parts.groupBy("part").agg(F.count("*").alias("n")).collect()}
-    base, start = F.lit(0), 0
-    for part in sorted(sizes):
-        base = F.when(F.col("part") == part, start).otherwise(base)
-        start += sizes[part]
-    return parts.where((base + F.col("at")) % max(1, n // 2000) == 0).select("o_orderkey", "o_custkey")
+    ranges = max(1, min(200, n // 100_000 + 1))
+    # the bounds are constants: a range partitioning samples anew in each job, and its borders move between them
+    bounds = o.agg(F.percentile_approx("o_orderkey", [i / ranges for i in range(1, ranges)]).alias("b")).first().b or [] if ranges > 1 else []
+    o = o.withColumn("part", S.range_of(F.col("o_orderkey"), sorted(set(bounds))))
+    base, start = [0] * (len(bounds) + 1), 0
+    for part, size in sorted((r.part, r.n) for r in o.groupBy("part").agg(F.count("*").alias("n")).collect()):
+        base[part], start = start, start + size
+    at = F.row_number().over(Window.partitionBy("part").orderBy(F.asc_nulls_last("o_orderkey"), F.asc_nulls_last("o_custkey"))) - 1
+    first = F.get(F.lit(base).cast("array<long>"), F.col("part"))
+    return o.withColumn("at", at).where((first + F.col("at")) % max(1, n // 2000) == 0).select("o_orderkey", "o_custkey")
 
 
 _BOXES = [(-60.0, -30.0, -50.0, -20.0, 0.0, 10.0), (500000.0, 7500000.0, 500300.0, 7500280.0, 760.0, 800.0), (-6e6, -2e6, -5.9e6, -1.9e6, 0.0, 100.0), (0.0, 0.0, 50.0, 60.0, 0.0, 9500.0)]

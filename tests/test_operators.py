@@ -54,3 +54,28 @@ def test_size_text_rounds_as_sql(spark, duck):
     sql = "CASE WHEN b >= 1e9 THEN printf('%.2f GB', b / 1e9) WHEN b >= 1e6 THEN printf('%.2f MB', b / 1e6) WHEN b >= 1e3 THEN printf('%.2f KB', b / 1e3) ELSE b || ' bytes' END"
     assert got == [r[0] for r in duck.execute(f"SELECT {sql} FROM (SELECT unnest(?::BIGINT[]) AS b)", [sizes]).fetchall()]
     assert got == [f"{b} bytes" if b < 1e3 else f"{b / 1e3:.2f} KB" if b < 1e6 else f"{b / 1e6:.2f} MB" if b < 1e9 else f"{b / 1e9:.2f} GB" for b in sizes]
+
+
+def test_stride_sample_over_several_ranges(spark, tmp_path):
+    n = 250_003
+    con = duckdb.connect()  # keys in no order, with gaps, negative ones and one null
+    con.execute(f"create table orders as select case when i = 7 then null else (i * 7919 % {n}) * 3 - 1000 end as o_orderkey, i as o_custkey from range({n}) t(i)")
+    con.execute(f"copy orders to '{tmp_path}/orders.parquet'")
+    want = sorted(con.execute(plans.ORACLES["stride_sample"]).fetchall(), key=str)
+    got = plans.QUERIES["stride_sample"](spark, str(tmp_path))
+    for _ in range(2):
+        assert sorted((tuple(r) for r in got.collect()), key=str) == want
+
+
+@pytest.mark.parametrize("keys", [[], [None, None], [5]])
+def test_stride_sample_of_few_rows(spark, tmp_path, keys):
+    spark.createDataFrame([(k, 1) for k in keys], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    assert [r.o_orderkey for r in plans.QUERIES["stride_sample"](spark, str(tmp_path)).collect()] == keys
+
+
+def test_range_of_bounds(spark):
+    from cairnspark.functions.scalar import range_of
+
+    df = spark.createDataFrame([(k,) for k in (None, -9, 1, 2, 3, 7, 8)], "k long")
+    assert [r.p for r in df.select(range_of(df["k"], [1, 3, 7]).alias("p")).collect()] == [3, 0, 0, 1, 1, 2, 3]
+    assert [r.p for r in df.select(range_of(df["k"], []).alias("p")).collect()] == [0] * 7
