@@ -12,9 +12,12 @@ a run, its bytes a piece of under 2 * span bytes.
    suffix arrays, a few anchors at a time: suffixes smaller than their
    successors are sorted directly, all others induced by bucket scans, then
    common prefixes of neighbours of at least ``span`` bytes mark windows.
-   Anchors with more than ``most`` distinct pieces would gather unbounded text
-   in a task; their windows are counted by 128-bit hashes instead, which is
-   exact as well and has no hot group.
+   An anchor with more than ``most`` distinct pieces would gather unbounded
+   text in a task.  Its pieces are split by longer anchors and take steps 2 and
+   3 again, with grams that fall short of ``span`` by a quarter of what the
+   last did.  Each round settles what is inside a passage and drops what is
+   outside, so the few windows on its borders are all that reach the last, where
+   a gram is a window and every piece of an anchor is equal.
 
 Counts are partial aggregates and joins can be split, so a passage found in a
 third of all documents makes no hot task.  Every size takes the same path:
@@ -33,6 +36,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -287,15 +291,19 @@ def _sort_suffixes(span: int):
     return run
 
 
-def _window_hashes(span: int):
+def _split(span: int, gram: int):
+    """Pieces of pieces, by anchors of ``gram`` bytes."""
+
     def run(batches):
         for batch in batches:
-            for text, *key, a, c in zip(*[batch.column(k).to_pylist() for k in ("bytes", "id", "tag", "at", "c")], strict=True):
-                x = np.frombuffer(text, np.uint8)
-                s = np.arange(len(x) - span + 1)
-                g = [mix(Rolling(x, i).of(s, s + span)) for i in (0, 1)]
+            for lo, _, data, offs in rows(batch, "bytes", BUFFER):
+                doc, at, n, h, f1, f2 = pieces(data, offs, span, gram)
+                parent = batch.take(pa.array(doc + lo))
+                start = offs[doc] + at
+                text = [data[i:j].tobytes() for i, j in zip(start.tolist(), (start + n + span - 1).tolist(), strict=True)]
+                at = pa.array(parent.column("at").to_numpy() + at)
                 yield pa.RecordBatch.from_arrays(
-                    [_long(g[0]), _long(g[1]), *(pa.array(np.full(len(s), v, np.int64)) for v in key), pa.array(s + a), pa.array(np.full(len(s), c))], names=["g1", "g2", "id", "tag", "at", "c"]
+                    [_long(h), _long(f1), _long(f2), parent.column("id"), parent.column("tag"), at, pa.array(n), parent.column("c"), pa.array(text, pa.binary())], names=["h", "f1", "f2", "id", "tag", "at", "n", "c", "bytes"]
                 )
 
     return run
@@ -306,6 +314,17 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("tag"), "text")
 
 
+def _twice(p: DataFrame, q: DataFrame) -> DataFrame:
+    """Windows of the pieces ``p`` that occur more than once among the distinct ones ``q``."""
+    return p.join(q.where("c > 1").select("h", "f1", "f2"), ["h", "f1", "f2"], "left_semi").select("id", "tag", "at", "n")
+
+
+def _mixed(q: DataFrame) -> DataFrame:
+    """Distinct pieces of the anchors that have several, of which one at least occurs once; ``k`` is their number."""
+    mixed = q.groupBy("h").agg(F.count("*").alias("k"), F.min("c").alias("least")).where("k > 1 and least = 1").select("h", "k")
+    return q.join(mixed, "h").drop("f1", "f2")
+
+
 def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """(id, tag, at, n): ``n`` windows from byte ``at`` on start more than once in ``docs(doc_id, text)``."""
     work = Scratch()
@@ -316,18 +335,24 @@ def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, most: int = MOS
     p = texts.mapInArrow(_pieces(span, gram), "h long, f1 long, f2 long, id long, tag long, at long, n long").join(again, "h", "left_semi")
     p = work.cut(p, "pieces")
     q = work.cut(p.groupBy("h", "f1", "f2").agg(F.count("*").alias("c"), *[F.first(c).alias(c) for c in (*key, "at", "n")]), "distinct")
-    twice = p.join(q.where("c > 1").select("h", "f1", "f2"), ["h", "f1", "f2"], "left_semi").select(*key, "at", "n")
-    mixed = q.groupBy("h").agg(F.count("*").alias("k"), F.min("c").alias("least")).where("k > 1 and least = 1").select("h", "k")
-    todo = q.join(mixed, "h").select("h", "k", "c", *key, "at", "n")
+    found, todo = [_twice(p, q)], _mixed(q)
     per = todo.groupBy(*key).agg(F.collect_list(F.struct("h", "k", "c", "at", "n")).alias("w"))
     got = texts.join(per, key).select(*key, F.col("text").cast("binary").alias("raw"), F.explode("w").alias("w"))
     got = got.select("w.h", "w.k", "w.c", *key, "w.at", F.expr(f"substring(raw, cast(w.at + 1 as int), cast(w.n + {span - 1} as int))").alias("bytes"))
     got = work.cut(got, "texts")
-    sa = got.where(F.col("k") <= most).repartition("h").sortWithinPartitions("h").select("h", "bytes", *key, "at", "c").mapInArrow(_sort_suffixes(span), "id long, tag long, at long, n long")
-    wide = got.where(F.col("k") > most).select("bytes", *key, "at", "c").mapInArrow(_window_hashes(span), "g1 long, g2 long, id long, tag long, at long, c long")
-    common = wide.groupBy("g1", "g2").agg(F.count("*").alias("k")).where("k > 1").select("g1", "g2")
-    hot = wide.where("c = 1").join(common, ["g1", "g2"], "left_semi").select(*key, "at", F.lit(1).cast("long").alias("n"))
-    out = cut(twice.union(sa).union(hot), "repeats")
+    while True:
+        wide = got.where((F.col("k") > most) & F.lit(gram < span))
+        few = got.where((F.col("k") <= most) | F.lit(gram >= span))
+        found.append(few.repartition("h").sortWithinPartitions("h").select("h", "bytes", *key, "at", "c").mapInArrow(_sort_suffixes(span), "id long, tag long, at long, n long"))
+        if wide.isEmpty():
+            break
+        gram = span - (span - gram) // 4
+        p = wide.select("bytes", *key, "at", "c").mapInArrow(_split(span, gram), "h long, f1 long, f2 long, id long, tag long, at long, n long, c long, bytes binary")
+        p = work.cut(p, "parts")
+        q = work.cut(p.groupBy("h", "f1", "f2").agg(F.sum("c").alias("c"), *[F.first(c).alias(c) for c in (*key, "at", "n", "bytes")]), "parts-distinct")
+        found.append(_twice(p.where("c = 1"), q))  # the others' windows are known
+        got = work.cut(_mixed(q), "parts-mixed")
+    out = cut(reduce(DataFrame.union, found), "repeats")
     work.clear()
     return out
 

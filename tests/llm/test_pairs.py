@@ -140,6 +140,42 @@ def test_suffix_dedup_equals_brute_force(spark, most):
     assert suffixes.dedup(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [512, 3])
+def test_suffix_dedup_of_a_passage_in_many_texts(spark, monkeypatch, most):
+    kind = type(spark.range(1))
+    made, plain = [], kind.mapInArrow
+
+    def counted(df, func, schema, *more, **options):
+        n = spark.sparkContext.accumulator(0)
+        made.append(n)
+
+        def run(batches):
+            for b in func(batches):
+                n.add(b.num_rows)
+                yield b
+
+        return plain(df, run, schema, *more, **options)
+
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("abcdefgh ijklé") for _ in range(n))
+    passage, other = text(260), text(230)
+    rows = [(i, text(150) + passage + (other if i % 50 == 0 else "") + text(150)) for i in range(700)]
+    rows += [(800, passage), (801, "x" + passage[:200]), (802, passage[60:] + "y"), (803, text(30) + other + "z" * 450), (804, rows[4][1]), (805, rows[4][1][100:430])]
+    got = sorted((tuple(r) for r in suffixes.dedup(spark.createDataFrame(rows, "doc_id long, text string"), most=most).collect()), key=str)
+    assert got == brute_repeats(rows, 200)
+    assert max(n.value for n in made) < 20 * len(rows)  # rows for pieces, not for each of their hundred windows
+
+
+def test_suffix_dedup_settles_when_every_anchor_is_split(spark):
+    rnd = random.Random(12)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(215))
+    rows = [(i, passage[: 180 + i % 36] + chr(97 + i % 7) * (i % 40) + passage[i % 15 :]) for i in range(120)] + [(200 + i, "ab" * (90 + i)) for i in range(25)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for gram in (8, 64, 199, 200):
+        assert sorted((tuple(r) for r in suffixes.dedup(df, most=1, gram=gram).collect()), key=str) == brute_repeats(rows, 200)
+
+
 def test_suffix_dedup_reads_long_texts_in_segments(spark):
     rng = np.random.default_rng(8)
     long = bytes(rng.integers(97, 123, 2_600_000, dtype=np.uint8)).decode()
