@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from cairnspark.llm import minhash, suffixes, textnum, vectors
+from cairnspark.llm import minhash, shared, suffixes, textnum, vectors
 
 
 def groups(ids, links):
@@ -74,6 +74,24 @@ def test_minhash_of_an_empty_table(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_components_of_few_edges_are_finished_in_one_task(spark):
+    rnd = random.Random(5)
+    links = [(1, i) for i in range(2, 200)] + [(1000 + i, 1001 + i) for i in range(300)] + [(7, 7), (7, None), (None, None)]
+    links += [(rnd.randint(5000, 5400), rnd.randint(5000, 5400)) for _ in range(250)] + [(-3, 9000), (9000, 1 << 40)] * 2
+    rnd.shuffle(links)
+    want = groups({x for a, b in links for x in (a, b) if None not in (a, b)}, [x for x in links if None not in x])
+    edges = spark.createDataFrame(links, "a long, b long").repartition(6)
+    sc, jobs = spark.sparkContext, {}
+    for most in (shared.LOCAL_EDGES, 0):
+        sc.setJobGroup(f"components-{most}", "")
+        rows = shared.components(edges, local_edges=most).collect()
+        jobs[most] = len(sc.statusTracker().getJobIdsForGroup(f"components-{most}"))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        assert {r.node: r.root for r in rows} == {x: r for x, r in want.items() if x != r} and len(rows) == len({r.node for r in rows})
+    assert jobs[shared.LOCAL_EDGES] <= 6 < jobs[0], jobs
+    assert shared.components(edges.limit(0)).collect() == []
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 2**63, 900, dtype=np.uint64)
